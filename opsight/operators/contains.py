@@ -5,17 +5,21 @@ avoid that:
 
 - *scan*: when the names are small, by a size that is measured first, each task gets all of them as
   one automaton and reads every text once. The texts are not shuffled.
-- *seeded*: otherwise every name is found by one of its character runs. Texts and names meet in an
-  equi-join on the hash of that run, and ``instr`` confirms. The run is the one fewest names have, so
-  a prefix that all names share does not bring all names to one text.
+- *seeded*: otherwise texts and names meet in an equi-join on the hash of a character run they share,
+  and ``instr`` confirms. A text gives only its minimizers: of every ``w`` neighbouring runs of ``k``
+  characters the one with the least hash. A name of at least ``k + w - 1`` characters holds a whole
+  such window wherever it occurs, so each minimizer of the name is one of the text. Of these the name
+  uses the one fewest names have, so a prefix that all names share does not bring all names to one
+  text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 try:
     import ahocorasick
@@ -23,14 +27,17 @@ except ImportError:  # the seeded way needs no such library
     ahocorasick = None
 
 SCAN_LIMIT_BYTES = 16 * 1024 * 1024
-RUN_LENGTHS = (16, 8, 4, 2, 1)
+# least name length: (k, w), with k + w - 1 equal to it
+WINDOWS = {32: (16, 17), 16: (8, 9), 8: (4, 5), 4: (4, 1), 2: (2, 1), 1: (1, 1)}
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _name_size(names: DataFrame, name: str) -> tuple[int, list[int]]:
-    """Bytes of all names and the run lengths in use."""
-    row = names.agg(
-        F.sum(F.octet_length(name)).alias("size"), F.collect_set(_run_length(F.col(name))).alias("lengths")
-    ).first()
+    """Bytes of all names and the window classes in use."""
+    longest = F
+    for least in WINDOWS:
+        longest = longest.when(F.char_length(name) >= least, F.lit(least))
+    row = names.agg(F.sum(F.octet_length(name)).alias("size"), F.collect_set(longest).alias("lengths")).first()
     return row["size"] or 0, sorted(row["lengths"], reverse=True)
 
 
@@ -73,45 +80,50 @@ def _scan(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, n
     return texts.select(*text_keys, F.explode(names_in(text)).alias(name)).distinct()
 
 
-def _run_length(name: Column) -> Column:
-    out = F
-    for k in RUN_LENGTHS:
-        out = out.when(F.char_length(name) >= k, F.lit(k))
-    return out
+def _minimizers(text: str, least: int) -> np.ndarray:
+    """Hashes of the distinct minimizers for names of at least ``least`` characters."""
+    k, w = WINDOWS[least]
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if len(codes) < least:
+        return np.empty(0, dtype=np.uint64)
+    runs = len(codes) - k + 1
+    out = np.full(runs, least, dtype=np.uint64)
+    for i in range(k):
+        out = out * MULTIPLIER + codes[i : i + runs]
+    out ^= out >> np.uint64(29)
+    out *= MULTIPLIER
+    return np.unique(np.lib.stride_tricks.sliding_window_view(out, w).min(axis=1))
 
 
-def _runs(text: Column, k: int) -> Column:
-    """Hashes of the distinct runs of k characters."""
-    chars = F.split(text, "")
-    starts = F.sequence(F.lit(1), F.size(chars) - F.lit(k - 1))
-    each = F.transform(starts, lambda i: F.xxhash64(F.concat_ws("", F.slice(chars, i, k))))
-    return F.when(F.size(chars) >= k, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _name_runs(names: pd.Series) -> pd.Series:
+    """Minimizers of a name under the widest windows that fit in it."""
+    return names.map(lambda n: _minimizers(n, next(m for m in WINDOWS if len(n) >= m)).view(np.int64))
+
+
+def _text_runs(lengths: list[int]):
+    """Minimizers of a text under each of the windows in use."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def runs(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: np.concatenate([_minimizers(t, m) for m in lengths]).view(np.int64))
+
+    return runs
 
 
 def _seeded(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, name: str,
             lengths: list[int]) -> DataFrame:
     if not lengths:
         return texts.select(*text_keys, F.col(text).alias(name)).where(F.lit(False))
-    chosen = F.array()
-    in_text = []
-    for k in lengths:
-        chosen = F.when(_run_length(F.col(name)) == k, _runs(F.col(name), k)).otherwise(chosen)
-        in_text.append(F.transform(_runs(F.col(text), k), lambda h, k=k: F.struct(F.lit(k).alias("k"), h.alias("h"))))
-    own = names.select(
-        name, _run_length(F.col(name)).alias("k"), F.explode(chosen).alias("h")
-    )
-    spread = own.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"))
+    own = names.select(name, F.explode(_name_runs(name)).alias("_run"))
+    spread = own.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
     seeds = (
-        own.join(spread, ["k", "h"])
-        .groupBy(name)
-        .agg(F.min_by(F.struct("k", "h"), F.struct("n", "h")).alias("seed"))
-        .select(name, "seed.k", "seed.h")
+        own.join(spread, "_run").groupBy(name).agg(F.min_by("_run", F.struct("_n", "_run")).alias("_run"))
     )
-    runs = texts.select(*text_keys, F.explode(F.concat(*in_text)).alias("r")).select(*text_keys, "r.k", "r.h")
-    candidates = runs.join(seeds, ["k", "h"]).select(*text_keys, name)
+    runs = texts.select(*text_keys, F.explode(_text_runs(lengths)(text)).alias("_run"))
+    candidates = runs.join(seeds, "_run").select(*text_keys, name).distinct()
     return (
         candidates.join(texts, text_keys)
         .where(F.instr(F.col(text), F.col(name)) > 0)
         .select(*text_keys, name)
-        .distinct()
     )

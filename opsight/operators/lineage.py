@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opsight.functions.matching import like_any
 from opsight.functions.times import moment
 from opsight.operators.contains import contains_pairs
+from opsight.session import cut_lineage
 
 # Owners whose tables count, and the text length the lineage search stops at.
 TABLE_OWNERS = ["%_DW", "%_PERIF"]
@@ -31,7 +32,7 @@ def mentioned_names(lines: DataFrame, text: str, patterns: DataFrame, pattern: s
         pattern, F.explode(_literal_runs(F.col(pattern))).alias("_piece")
     )
     spread = pieces.groupBy("_piece").agg(F.countDistinct(pattern).alias("_n"))
-    anchors = (
+    anchors = cut_lineage(
         pieces.join(spread, "_piece")
         .groupBy(pattern)
         .agg(F.min_by("_piece", F.struct("_n", -F.char_length("_piece"), "_piece")).alias("_piece"))
