@@ -27,7 +27,8 @@ def walk_from_roots(nodes: DataFrame, node: str, parent: str, segment: Column, r
     """Every node that a chain of parents joins to a root (a node without parent).
 
     Adds ``root`` (the given struct, taken at the root), ``level`` (1 at the root) and ``path`` (the
-    segments from the root on; text or array, joined by ``concat``). ``node`` must be unique.
+    segments from the root on; text or array, joined by ``concat``). ``node`` must be unique, and
+    ``nodes`` is read once per round, so give it with its lineage cut.
 
     Each round joins every unfinished node with the node it points to and takes over that one's
     pointer, so the distance covered doubles: a tree of depth d needs about log2(d) rounds where a
@@ -41,7 +42,6 @@ def walk_from_roots(nodes: DataFrame, node: str, parent: str, segment: Column, r
         segment.alias("path"),
         F.col(parent).alias("_to"),
     )
-    state = cut_lineage(state)
     finished = state.where(F.col("root").isNotNull())
     active = state.where(F.col("root").isNull())
     for _ in range(max_rounds):
@@ -61,7 +61,8 @@ def walk_from_roots(nodes: DataFrame, node: str, parent: str, segment: Column, r
         arrived = moved.where(F.col("root").isNotNull())
         finished = finished.unionByName(arrived)
         active = moved.where(F.col("root").isNull())
-        if arrived.isEmpty():
+        counts = moved.agg(F.count("root").alias("arrived"), F.count(F.lit(1)).alias("moved")).first()
+        if counts["arrived"] in (0, counts["moved"]):
             return finished.drop("_to")
     raise ValueError(f"the walk did not end within {max_rounds} rounds")
 
@@ -153,7 +154,8 @@ def hierarchy_depth_first(df: DataFrame, node: str = "employee_id", parent: str
                           label: str = "last_name") -> DataFrame:
     """Level and indented label of every node below a root, depth first, siblings by label."""
     key = F.array(F.struct(F.col(label).alias("label"), F.col(node).alias("id")))
-    walked = walk_from_roots(df.select(node, parent, label), node, parent, key, F.struct(F.col(node).alias("id")))
+    nodes = cut_lineage(df.select(node, parent, label))
+    walked = walk_from_roots(nodes, node, parent, key, F.struct(F.col(node).alias("id")))
     return walked.orderBy("path").select(
         node, "level", F.concat(F.repeat(F.lit("*"), (F.col("level") * 2).cast("int")), F.col(label)).alias("label")
     )

@@ -19,9 +19,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.base: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return t.logical(self.spark, self.sf_dir, getattr(t, name))
+        made = t.logical(self.spark, self.sf_dir, getattr(t, name), self.base)
+        setattr(self, name, made)
+        return made
 
 
 def _plain_dates(df: DataFrame) -> DataFrame:

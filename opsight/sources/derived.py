@@ -360,13 +360,14 @@ def used_tables(text: str) -> tuple[str, ...]:
 
 def logical(spark: SparkSession, sf_dir: str, table: Callable[[Dialect], str],
             frames: dict[str, DataFrame] | None = None) -> DataFrame:
-    """A logical table as a DataFrame; ``frames`` replaces base tables, for instance by a stream."""
+    """A logical table as a DataFrame. ``frames`` holds base tables already open, or put in place of
+    the files (such as a stream); those opened here are added."""
     text = table(SPARK)
-    frames = frames or {}
-    sources = {
-        t: frames[t] if t in frames else spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used_tables(text)
-    }
-    return spark.sql(text, **sources)
+    frames = {} if frames is None else frames
+    for t in used_tables(text):
+        if t not in frames:
+            frames[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    return spark.sql(text, **{t: frames[t] for t in used_tables(text)})
 
 
 def check_sql(tables: list[Callable[[Dialect], str]], body: str) -> str:

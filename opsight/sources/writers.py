@@ -26,14 +26,16 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _finished(spark: SparkSession, pattern: str) -> list:
+    """Folders that fit the pattern and whose write has finished."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return list(fs.globStatus(marker) or [])
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Version numbers whose write has finished."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
+    done = _finished(spark, f"{path}/version=*")
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
 
 
@@ -64,6 +66,12 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """One batch of a log, None where it was not written."""
+    folder = f"{path}/{BATCH}={batch_id}"
+    return spark.read.parquet(folder) if _finished(spark, folder) else None
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a log, with their number in ``batch_id``."""
     return spark.read.option("basePath", path).parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))

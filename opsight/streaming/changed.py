@@ -5,45 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from opsight.sources.writers import BATCH, read_batches, write_batch
+from opsight.sources.writers import BATCH, read_batch, read_batches, write_batch
 from opsight.streaming.common import start
 
 
-def _marks_before(spark: SparkSession, path: str, epoch: str, batch_id: int) -> DataFrame | None:
-    """Highest counter per instance start, from the batches before this one."""
-    try:
-        marks = read_batches(spark, path)
-        # a folder without files reads as an error only here
-        marks.schema
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
-    return marks.where(F.col(BATCH) < batch_id).groupBy(epoch).agg(F.max("mark").alias("mark"))
-
-
 def stream_changed_rows(stream: DataFrame, path: str, checkpoint: str, epoch: str = "instance_startup_date",
                         counter: str = "fixed_table_sequence", every: str | None = None) -> StreamingQuery:
     """Keep the rows whose counter is above the highest one seen before for their instance start.
 
     A new instance start has no mark, so all its rows pass. Rows of an older start are held against
-    that start's own mark and leave the others alone. Rows go to ``path/rows`` and the marks a batch
-    raises to ``path/marks``; both are written under the batch number, and a batch reads only the
-    marks of earlier batches, so repeating it gives the same result.
+    that start's own mark and leave the others alone. Rows go to ``path/rows`` and the marks after the
+    batch, one row per instance start, to ``path/marks``. Both are written under the batch number and
+    a batch reads only the marks of the one before, so repeating it gives the same result.
     """
     spark = stream.sparkSession
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        marks = _marks_before(spark, f"{path}/marks", epoch, batch_id)
+        marks = read_batch(spark, f"{path}/marks", batch_id - 1)
+        if marks is None and batch_id > 0:
+            raise FileNotFoundError(f"marks of batch {batch_id - 1} are missing in {path}")
+        raised = batch.groupBy(epoch).agg(F.max(counter).alias("mark"))
         fresh = batch
         if marks is not None:
+            known = marks.withColumnRenamed(epoch, "_epoch")
             fresh = (
-                batch.join(marks.withColumnRenamed(epoch, "_epoch"), F.col(epoch).eqNullSafe(F.col("_epoch")), "left")
+                batch.join(known, F.col(epoch).eqNullSafe(F.col("_epoch")), "left")
                 .where(F.col("mark").isNull() | (F.col(counter) > F.col("mark")))
                 .select(*batch.columns)
             )
+            raised = marks.unionByName(raised).groupBy(epoch).agg(F.max("mark").alias("mark"))
         write_batch(fresh, f"{path}/rows", batch_id)
-        raised = batch.groupBy(epoch).agg(F.max(counter).alias("mark"))
         write_batch(raised, f"{path}/marks", batch_id)
 
     return start(stream.writeStream.foreachBatch(store), checkpoint, every)
