@@ -15,9 +15,8 @@ MB = 1024 * 1024
 def missing_comment_share(comments: DataFrame, scope: DataFrame, counted: str = "column_name") -> DataFrame:
     """Per schema in scope, its percentage of all undocumented columns (or tables), one decimal."""
     schemas = scope.where(F.col("include_ind") == 1).select(F.col("schema_name").alias("owner"))
-    missing = comments.where(F.col("comments").isNull()).join(schemas, "owner", "left_semi")
-    grouped = missing.groupBy("owner").agg(F.count(counted).alias("_n"))
-    return with_share(grouped, "_n", "pcnt", digits=1, factor=100).drop("_n")
+    missing = comments.where(F.col("comments").isNull()).groupBy("owner").agg(F.count(counted).alias("_n"))
+    return with_share(missing.join(schemas, "owner", "left_semi"), "_n", "pcnt", digits=1, factor=100).drop("_n")
 
 
 def _bytes(files: DataFrame, out: str, column: str = "bytes") -> DataFrame:
@@ -81,7 +80,8 @@ def space_by_area(usage: DataFrame, tables: DataFrame, owners: list[str], negate
 def summary_size(segments: DataFrame, mviews: DataFrame) -> DataFrame:
     """MB of the segments that hold a materialized view, by name whatever the owner, one row."""
     names = mviews.select(F.col("container_name").alias("segment_name"))
-    return segments.join(names, "segment_name", "left_semi").agg((F.sum("bytes") / MB).alias("mbs"))
+    sizes = segments.groupBy("segment_name").agg(F.sum("bytes").alias("bytes"))
+    return sizes.join(names, "segment_name", "left_semi").agg((F.sum("bytes") / MB).alias("mbs"))
 
 
 def user_segment(users: DataFrame, day: date | None = None, profile: str | None = None,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from opsight.functions.times import UNIT_SECONDS, epoch_micros, minute_of, whole_units
 
 MICROS = 1_000_000
+OFFSET_RANGES = 60
 
 
 def _starts(df: DataFrame, unit: str, count: str, *keys: str) -> DataFrame:
@@ -34,32 +35,45 @@ def phase_between(first: DataFrame, second: DataFrame, unit: str = "hour") -> Da
 
     Pairs are counted, not built. With both starts written as slot * unit + offset, the whole-unit
     difference of a pair is the difference of the slots, or one nearer to or further from zero
-    depending on the order of the offsets. So per (minute, second slot) one ordered pass over the
-    offsets gives each first run its number of second runs below, at and above its own offset. A
-    minute with very many finishes is spread over the second runs' slots.
+    depending on the order of the offsets. So for each slot of the second runs a first run only needs
+    the number of second runs below, at and above its own offset.
+
+    That number is a running count over the offsets. It is taken inside narrow ranges of the offset,
+    on top of the totals of the ranges before, so that one minute with very many finishes is spread
+    over (slot, range) and no task has to order all of it.
     """
-    a = _starts(first, unit, "runs", "execution_name")
-    b = _starts(second, unit, "seconds_runs")
-    slots = b.select("minute", F.col("slot").alias("to_slot")).distinct()
-    probes = a.join(slots, "minute").select(
-        "minute", "to_slot", "offset", "execution_name", "slot", "runs", F.lit(0).cast("bigint").alias("seconds_runs")
+    width = UNIT_SECONDS[unit] * MICROS // OFFSET_RANGES
+
+    def offset_range(offset: str):
+        return ((F.col(offset) - F.pmod(F.col(offset), F.lit(width))) / F.lit(width)).cast("int")
+
+    a = _starts(first, unit, "runs", "execution_name").withColumn("range", offset_range("offset"))
+    b = _starts(second, unit, "others").withColumn("range", offset_range("offset"))
+    slots = (
+        b.groupBy("minute", F.col("slot").alias("to_slot"), "range")
+        .agg(F.sum("others").alias("n"))
+        .groupBy("minute", "to_slot")
+        .agg(F.sum("n").alias("n_all"), F.collect_list(F.struct("range", "n")).alias("ranges"))
     )
-    targets = b.select(
-        "minute", F.col("slot").alias("to_slot"), "offset", F.lit(None).cast("string").alias("execution_name"),
-        F.lit(None).cast("bigint").alias("slot"), F.lit(0).cast("bigint").alias("runs"), "seconds_runs",
+    earlier = F.aggregate(
+        F.filter("ranges", lambda r: r["range"] < F.col("range")), F.lit(0).cast("bigint"), lambda s, r: s + r["n"]
+    )
+    probes = a.join(slots, "minute").select(
+        "minute", "to_slot", "range", "offset", "execution_name", (F.col("to_slot") - F.col("slot")).alias("d"),
+        "runs", "n_all", earlier.alias("n_earlier"), F.lit(0).cast("bigint").alias("others"),
     )
-    lane = W.partitionBy("minute", "to_slot")
-    upto = lane.orderBy("offset").rangeBetween(W.unboundedPreceding, W.currentRow)
-    below = lane.orderBy("offset").rangeBetween(W.unboundedPreceding, -1)
+    targets = b.select("minute", F.col("slot").alias("to_slot"), "range", "offset", "others")
+    lane = W.partitionBy("minute", "to_slot", "range").orderBy("offset")
+    upto = lane.rangeBetween(W.unboundedPreceding, W.currentRow)
+    below = lane.rangeBetween(W.unboundedPreceding, -1)
     counted = (
-        probes.unionByName(targets)
+        probes.unionByName(targets, allowMissingColumns=True)
         .select(
-            "execution_name", "runs", (F.col("to_slot") - F.col("slot")).alias("d"),
-            F.sum("seconds_runs").over(lane).alias("n_all"),
-            F.sum("seconds_runs").over(upto).alias("n_upto"),
-            F.coalesce(F.sum("seconds_runs").over(below), F.lit(0)).alias("n_below"),
+            "execution_name", "d", "runs", "n_all",
+            (F.col("n_earlier") + F.sum("others").over(upto)).alias("n_upto"),
+            (F.col("n_earlier") + F.coalesce(F.sum("others").over(below), F.lit(0))).alias("n_below"),
         )
-        .where("runs > 0")
+        .where("runs IS NOT NULL")
     )
     d, runs, everything = F.col("d"), F.col("runs"), F.col("n_all")
 

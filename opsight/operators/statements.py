@@ -42,6 +42,11 @@ def _pairs(snap: DataFrame) -> DataFrame:
     return snap.select(*SESSION_KEYS).distinct()
 
 
+def _captured(snap: DataFrame) -> DataFrame:
+    """Captured rows counted per session and statement."""
+    return snap.groupBy("sid", "sql_id").agg(F.count(F.lit(1)).alias("_captured"))
+
+
 def stats_of_tracked(stats: DataFrame, snap: DataFrame, mode: str = "counted") -> DataFrame:
     """Statistics of the statements that some captured session ran."""
     return _result(stats, _per_statement(_pairs(snap)), mode)
@@ -66,11 +71,11 @@ def stats_of_finished(stats: DataFrame, snap: DataFrame, sessions: DataFrame, ho
         chosen = _per_statement(_pairs(snap).join(active, "sid", "left_anti"))
     elif how == "not_in":
         some_active = active.agg(F.count(F.lit(1)) > 0).scalar()
-        rows = snap.select("sid", "sql_id").join(active, "sid", "left_anti")
-        chosen = _per_statement(rows.where(F.col("sid").isNotNull() | ~some_active))
+        rows = _captured(snap).join(active, "sid", "left_anti")
+        chosen = _per_statement(rows.where(F.col("sid").isNotNull() | ~some_active), F.col("_captured"))
     elif how == "inactive":
         listed = sessions.where(F.col("status") != "ACTIVE").groupBy("sid").agg(F.count(F.lit(1)).alias("_listed"))
-        rows = snap.groupBy("sid", "sql_id").agg(F.count(F.lit(1)).alias("_captured")).join(listed, "sid")
+        rows = _captured(snap).join(listed, "sid")
         chosen = _per_statement(rows, F.col("_captured") * F.col("_listed"))
     else:
         raise ValueError("how is 'not_in', 'anti' or 'inactive'")
@@ -87,7 +92,6 @@ def stats_other_sessions(stats: DataFrame, snap: DataFrame, sessions: DataFrame)
         F.count(F.lit(1)).alias("_same")
     )
     everyone = F.coalesce(active.agg(F.sum("_same")).scalar(), F.lit(0))
-    captured = snap.where(F.col("sid").isNotNull()).groupBy("sid", "sql_id").agg(F.count(F.lit(1)).alias("_captured"))
-    rows = captured.join(active, "sid", "left")
+    rows = _captured(snap.where(F.col("sid").isNotNull())).join(active, "sid", "left")
     partners = F.col("_captured") * (everyone - F.coalesce(F.col("_same"), F.lit(0)))
     return _result(stats, _per_statement(rows.withColumn("_partners", partners), F.col("_partners")), "counted")
