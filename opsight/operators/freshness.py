@@ -22,12 +22,12 @@ def log_freshness(control: DataFrame, now: datetime, last_run: str, rate: str, r
 
     today = F.to_date(F.lit(now.date().isoformat()))
     row = control.sparkSession.range(1).select(
-        moment(now).alias("snapshot_datetime"), run_date(last_run).alias("ote_dw_last_run"),
+        moment(now).alias("snapshot_datetime"), run_date(last_run).alias("dw_last_run"),
         run_date(rate).alias("rate_date"),
     )
     return row.select(
         "*",
-        F.datediff(today, F.col("ote_dw_last_run").cast("date")).alias("other_facts_days_diff"),
+        F.datediff(today, F.col("dw_last_run").cast("date")).alias("other_facts_days_diff"),
         F.datediff(today, F.date_sub(F.col("rate_date").cast("date"), rate_correction)).alias("cdrs_days_diff"),
     )
 

@@ -24,89 +24,92 @@ def step_label() -> Column:
     )
 
 
-def sequence_paths(steps: DataFrame, start: Column | None = None, keep: str = "all", label: Column | None = None,
-                   max_rounds: int = 40) -> DataFrame:
+THIS, PREVIOUS = "execution_audit_id", "prev_execution_audit_id"
+
+
+def _is_start(start: Column | None) -> Column:
+    return F.coalesce(F.col("prev_created_on").isNull() if start is None else start, F.lit(False))
+
+
+def _label(label: Column | None) -> Column:
+    return F.concat(F.lit(ARROW), label if label is not None else step_label())
+
+
+def _shown() -> Column:
+    """Rows that show: they have a previous step, and not a junction where they have several."""
+    name = F.col("prev_execution_name_short")
+    several = F.coalesce(F.col("cnt") > 1, F.lit(False))
+    return F.coalesce(name.isNotNull() & ~(several & any_of([name.rlike(p) for p in JUNCTIONS])), F.lit(False))
+
+
+def _grow(rows: DataFrame, joined: dict[str, Column], reduce=None, max_rounds: int = 40) -> DataFrame:
+    """Grow chains from single steps to whole chains that begin at a start step.
+
+    ``rows`` holds a step and its chain so far: ``step_ids``, ``_to`` (the step the chain points to)
+    and ``_start``. A round appends every unfinished chain to the chains that end at the step it
+    points to, so the length doubles and about log2 of the longest chain rounds are enough. Columns
+    of the front piece are named with a leading ``_``; ``joined`` says how both pieces combine. A
+    chain never passes a step twice.
+    """
+    finished = rows.where("_start").withColumn("_to", F.lit(None).cast("bigint")).drop("_start")
+    active = rows.where("_to IS NOT NULL").drop("_start")
+    columns = [c for c in rows.columns if c != "_start"]
+    for _ in range(max_rounds):
+        front = finished.unionByName(active).select(*[F.col(c).alias(f"_{c}") for c in columns])
+        pairs = active.join(
+            front, (F.col("_to") == F.col(f"_{THIS}")) & ~F.arrays_overlap(F.col("step_ids"), F.col("_step_ids"))
+        )
+        moved = pairs.select(*[
+            F.col("__to").alias("_to") if c == "_to"
+            else F.concat("_step_ids", "step_ids").alias(c) if c == "step_ids"
+            else joined[c].alias(c) if c in joined else F.col(c)
+            for c in columns
+        ])
+        moved = cut_lineage(reduce(moved) if reduce else moved)
+        finished = finished.unionByName(moved.where("_to IS NULL"))
+        active = moved.where("_to IS NOT NULL")
+        if active.isEmpty():
+            return finished.drop("_to")
+    raise ValueError(f"the chains did not end within {max_rounds} rounds")
+
+
+def sequence_paths(steps: DataFrame, start: Column | None = None, label: Column | None = None) -> DataFrame:
     """Every chain of predecessors from a start step to each step.
 
     Adds the readable path, the number of steps, the summed minutes (NULL when a step has none), the
-    minutes of the last two steps together and the step ids. A chain never passes a step twice.
-    Chains are built whole and rows filtered afterwards: a step with several predecessors does not
-    show the chain through a junction, and chains of a single step do not show at all, as they have
-    no previous step.
-
-    The rounds double the covered distance, as in ``walk_from_roots``: a piece of a chain ends at a
-    step and begins after the step it points to.
-
-    The number of chains can grow exponentially where branches meet. ``keep="best"`` then keeps, of
-    the pieces with the same end, pointer and number of steps, the one with the largest sum. Longer
-    chains extend all of them alike, so the largest sum and the greatest length per root stay exact
-    as long as the steps hold no loop.
+    minutes of the last two steps together and the step ids. Chains are built whole and rows filtered
+    afterwards: a step with several predecessors does not show the chain through a junction, and
+    chains of a single step do not show at all, as they have no previous step.
+
+    The number of chains can grow exponentially where branches meet; ``critical_chains`` does not
+    build them.
     """
-    if keep not in ("all", "best"):
-        raise ValueError("keep is 'all' or 'best'")
-    if start is None:
-        start = F.col("prev_created_on").isNull()
-    this, previous = "execution_audit_id", "prev_execution_audit_id"
     rows = cut_lineage(
-        with_leaf_flag(steps, steps, this, previous).select(
+        with_leaf_flag(steps, steps, THIS, PREVIOUS).select(
             "*",
             F.lit(1).cast("bigint").alias("seq_length"),
-            F.concat(F.lit(ARROW), label if label is not None else step_label()).alias("seq_path"),
+            _label(label).alias("seq_path"),
             F.col("duration_mins").alias("path_duration_mins"),
             F.lit(None).cast("double").alias("pair_duration_mins"),
-            F.array(this).alias("step_ids"),
-            F.col(previous).alias("_to"),
-            start.alias("_start"),
+            F.array(THIS).alias("step_ids"),
+            F.col(PREVIOUS).alias("_to"),
+            _is_start(start).alias("_start"),
         )
     )
-    carried = [*steps.columns, "is_leaf"]
-    finished = rows.where("_start").withColumn("_to", F.lit(None).cast("bigint")).drop("_start")
-    active = rows.where("_to IS NOT NULL").drop("_start")
-    for _ in range(max_rounds):
-        targets = finished.unionByName(active).select(
-            F.col(this).alias("_id"), F.col("_to").alias("_next"), F.col("seq_length").alias("_length"),
-            F.col("seq_path").alias("_path"), F.col("path_duration_mins").alias("_mins"),
-            F.col("duration_mins").alias("_own_mins"), F.col("step_ids").alias("_ids"),
-        )
-        joined = active.join(
-            targets, (active["_to"] == targets["_id"]) & ~F.arrays_overlap(active["step_ids"], targets["_ids"])
-        )
-        moved = joined.select(
-            *carried,
-            (F.col("seq_length") + F.col("_length")).alias("seq_length"),
-            F.concat("_path", "seq_path").alias("seq_path"),
-            (F.col("path_duration_mins") + F.col("_mins")).alias("path_duration_mins"),
-            F.when(F.col("seq_length") == 1, F.col("duration_mins") + F.col("_own_mins"))
-            .otherwise(F.col("pair_duration_mins")).alias("pair_duration_mins"),
-            F.concat("_ids", "step_ids").alias("step_ids"),
-            F.col("_next").alias("_to"),
-        )
-        moved = cut_lineage(_best_pieces(moved, this, previous) if keep == "best" else moved)
-        finished = finished.unionByName(moved.where("_to IS NULL"))
-        active = moved.where("_to IS NOT NULL")
-        if active.isEmpty():
-            break
-    else:
-        raise ValueError(f"the chains did not end within {max_rounds} rounds")
-    several = F.coalesce(F.col("cnt") > 1, F.lit(False))
-    name = F.col("prev_execution_name_short")
-    junction = any_of([name.rlike(p) for p in JUNCTIONS])
+    chains = _grow(rows, {
+        "seq_length": F.col("seq_length") + F.col("_seq_length"),
+        "seq_path": F.concat("_seq_path", "seq_path"),
+        "path_duration_mins": F.col("path_duration_mins") + F.col("_path_duration_mins"),
+        "pair_duration_mins": F.when(F.col("seq_length") == 1, F.col("duration_mins") + F.col("_duration_mins"))
+        .otherwise(F.col("pair_duration_mins")),
+    })
     return (
-        finished.where(name.isNotNull() & ~(several & junction))
-        .drop("_to")
+        chains.where(_shown())
         .withColumn("path_duration_mins", F.round("path_duration_mins", 6))
         .withColumn("pair_duration_mins", F.round("pair_duration_mins", 6))
     )
 
 
-def _best_pieces(pieces: DataFrame, this: str, previous: str) -> DataFrame:
-    """Of the pieces with the same end, pointer and length, the largest sum (NULL sums lose)."""
-    keys = [this, previous, "_to", "seq_length"]
-    rest = [c for c in pieces.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct("path_duration_mins", "step_ids"))
-    return pieces.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*").select(*pieces.columns)
-
-
 def critical_path(paths: DataFrame, root: str = "root_created_on") -> DataFrame:
     """Per root start the chain with the largest sum; ties go to the longer chain, then the higher ids.
 
@@ -132,3 +135,67 @@ def critical_path(paths: DataFrame, root: str = "root_created_on") -> DataFrame:
             "w.path_duration_mins", "w.seq_length", "w.critical_path", "max_length", "max_path_dur_mins",
         )
     )
+
+
+def critical_chains(steps: DataFrame, start: Column | None = None, label: Column | None = None,
+                    root: str = "root_created_on") -> DataFrame:
+    """``critical_path`` straight from the steps, without building every chain.
+
+    Of the pieces with the same end, pointer and number of steps only the one with the largest sum
+    stays: longer chains extend all of them alike, so the largest sum and the greatest length per
+    root come out the same, as long as the steps hold no loop. The rounds carry numbers only; the
+    readable path is put together for the winning chains at the end. (Step, previous step)
+    identifies a row; of several the greatest text shows.
+    """
+    rows = cut_lineage(
+        steps.select(
+            THIS, PREVIOUS, root, _shown().alias("_show"), F.lit(1).cast("bigint").alias("seq_length"),
+            F.col("duration_mins").alias("mins"), F.array(THIS).alias("step_ids"), F.col(PREVIOUS).alias("_to"),
+            _is_start(start).alias("_start"),
+        )
+    )
+
+    def best(pieces: DataFrame) -> DataFrame:
+        keys = [THIS, PREVIOUS, "_to", "seq_length", root, "_show"]
+        return pieces.groupBy(*keys).agg(F.max(F.struct("mins", "step_ids")).alias("b")).select(
+            *keys, "b.mins", "b.step_ids"
+        ).select(*pieces.columns)
+
+    chains = _grow(rows, {
+        "seq_length": F.col("seq_length") + F.col("_seq_length"), "mins": F.col("mins") + F.col("_mins"),
+    }, best)
+    mins = F.round("mins", 6)
+    won = (
+        chains.where("_show")
+        .groupBy(root)
+        .agg(
+            F.max(F.when(F.col("mins").isNotNull(), F.struct(mins.alias("mins"), "seq_length", "step_ids"))).alias("w"),
+            F.max("seq_length").alias("max_length"),
+            F.max(mins).alias("max_path_dur_mins"),
+        )
+        .where("w IS NOT NULL")
+        .select(root, "w.*", "max_length", "max_path_dur_mins")
+    )
+    result = [root, "mins", "seq_length", "max_length", "max_path_dur_mins"]
+    places = won.select(*result, F.posexplode("step_ids").alias("place", "_step"), "step_ids").select(
+        *result, "place", "_step", F.when(F.col("place") > 0, F.get("step_ids", F.col("place") - 1)).alias("_before")
+    )
+    shown = ["root_execution_name", "top_level_execution_audit_id", "root_updated_on"]
+    texts = steps.select(THIS, PREVIOUS, _label(label).alias("text"), *shown, _is_start(start).alias("_start"))
+    texts = texts.where("_start").withColumn(PREVIOUS, F.lit(None).cast("bigint")).unionByName(
+        texts.where(F.col(PREVIOUS).isNotNull())
+    ).drop("_start")
+    text_in_order = F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda p: p["text"])
+    return (
+        places.join(texts, (F.col("_step") == F.col(THIS)) & F.col("_before").eqNullSafe(F.col(PREVIOUS)))
+        .groupBy(*result, "place")
+        .agg(F.max(F.struct("text", *shown)).alias("at"))
+        .select(*result, "place", "at.*")
+        .groupBy(*result)
+        .agg(F.concat_ws("", text_in_order).alias("critical_path"), F.max_by(F.struct(*shown), "place").alias("end"))
+        .select(
+            "end.root_execution_name", "end.top_level_execution_audit_id", root, "end.root_updated_on",
+            F.col("mins").alias("path_duration_mins"), "seq_length", "critical_path", "max_length",
+            "max_path_dur_mins",
+        )
+    )

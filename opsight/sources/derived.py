@@ -74,7 +74,8 @@ def flow_steps(d: Dialect) -> str:
     """A step has one row per predecessor: the tree parent, and for purchases also the root."""
     steps = f"""
             SELECT event_id, event_type, value, ts, {_TREE} AS root_id, {_PARENT} AS prev_id,
-                   CASE WHEN event_type = 'purchase' AND {_PARENT} <> {_TREE} THEN 2 ELSE 1 END AS cnt
+                   CASE WHEN event_type = 'purchase' AND event_id <> {_TREE} AND {_PARENT} <> {_TREE} THEN 2 ELSE 1 END
+                     AS cnt
             FROM {{events}}"""
     second = f"""
             SELECT event_id, event_type, value, ts, root_id, root_id AS prev_id, cnt FROM ({steps}) q WHERE cnt = 2"""

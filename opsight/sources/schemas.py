@@ -43,7 +43,7 @@ REPORT_USERS = _schema(
 )
 CONTROL = _schema(procedure_name="s", run_date="t")
 FRESHNESS_LOG = _schema(
-    snapshot_datetime="t", ote_dw_last_run="t", rate_date="t", other_facts_days_diff="i", cdrs_days_diff="i",
+    snapshot_datetime="t", dw_last_run="t", rate_date="t", other_facts_days_diff="i", cdrs_days_diff="i",
 )
 INTERFACE_TABLES = _schema(flow_name="s", table_name="s", start_date_key="t")
 LOAD_CONTROL = _schema(table_name="s", data_ref_date="t")

@@ -16,7 +16,7 @@ def test_freshness(make):
     row = freshness.log_freshness(control, NOW, "RUN", "RATE").first()
     assert (row["other_facts_days_diff"], row["cdrs_days_diff"]) == (1, 3)
     assert freshness.log_freshness(control, NOW, "RUN", "RATE", 0).first()["cdrs_days_diff"] == 2
-    assert freshness.log_freshness(control, NOW, "GONE", "RATE").first()["ote_dw_last_run"] is None
+    assert freshness.log_freshness(control, NOW, "GONE", "RATE").first()["dw_last_run"] is None
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         freshness.log_freshness(control.union(control), NOW, "RUN", "RATE").collect()
 

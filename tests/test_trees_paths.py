@@ -159,16 +159,14 @@ def test_paths_equal_brute_force_with_branches_and_loops(steps):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_best_pieces_give_the_same_critical_path(steps, seed):
+def test_critical_chains_need_not_build_every_chain(steps, seed):
     rng = random.Random(seed)
     rows = [(0, None, 1.0)]
     for n in range(1, 25):
         for p in sorted(rng.sample(range(max(0, n - 5), n), k=min(n, rng.choice([1, 2, 3])))):
             rows.append((n, p, rng.choice([None, 1.0, 2.0, 3.0, float(n)])))
     df = steps(rows)
-    every, best = paths.sequence_paths(df), paths.sequence_paths(df, keep="best")
-    assert best.count() <= every.count()
-    assert rows_of(paths.critical_path(best)) == rows_of(paths.critical_path(every))
+    assert rows_of(paths.critical_chains(df)) == rows_of(paths.critical_path(paths.sequence_paths(df)))
 
 
 def test_junctions_show_only_with_a_single_predecessor(steps):
@@ -180,10 +178,13 @@ def test_junctions_show_only_with_a_single_predecessor(steps):
 def test_critical_path_ties_go_to_the_longer_chain(steps):
     rows = [(1, None, 1.0), (2, 1, 4.0), (3, 1, 2.0), (4, 3, 2.0), (5, 1, None)]
     got = paths.critical_path(paths.sequence_paths(steps(rows))).collect()
+    assert got == paths.critical_chains(steps(rows)).collect()
     assert [(r["path_duration_mins"], r["seq_length"], r["max_length"], r["max_path_dur_mins"]) for r in got] == [
         (5.0, 3, 3, 5.0)
     ]
 
 
 def test_no_critical_path_where_every_duration_is_unknown(steps):
-    assert paths.critical_path(paths.sequence_paths(steps([(1, None, None), (2, 1, 1.0)]))).count() == 0
+    df = steps([(1, None, None), (2, 1, 1.0)])
+    assert paths.critical_path(paths.sequence_paths(df)).count() == 0
+    assert paths.critical_chains(df).count() == 0
