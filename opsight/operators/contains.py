@@ -15,6 +15,7 @@ avoid that:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,8 @@ try:
 except ImportError:  # the seeded way needs no such library
     ahocorasick = None
 
-SCAN_LIMIT_BYTES = 16 * 1024 * 1024
+# an automaton takes up to a hundred times the bytes of its names, in every worker process
+SCAN_LIMIT_BYTES = 2 * 1024 * 1024
 # least name length: (k, w), with k + w - 1 equal to it
 WINDOWS = {32: (16, 17), 16: (8, 9), 8: (4, 5), 4: (4, 1), 2: (2, 1), 1: (1, 1)}
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -59,23 +61,33 @@ def contains_pairs(texts: DataFrame, text_keys: list[str], text: str, names: Dat
     return _seeded(texts, text_keys, text, names, name, lengths)
 
 
+_AUTOMATA: dict[str, object] = {}
+
+
+def _automaton(key: str, words: list[str]):
+    """The automaton of the words, built once per worker process and kept for its next tasks."""
+    if key not in _AUTOMATA:
+        built = ahocorasick.Automaton()
+        for word in words:
+            built.add_word(word, word)
+        built.make_automaton()
+        _AUTOMATA.clear()
+        _AUTOMATA[key] = built
+    return _AUTOMATA[key]
+
+
 def _scan(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, name: str) -> DataFrame:
     # bounded: the caller measured the names against the limit
-    sent = texts.sparkSession.sparkContext.broadcast([row[0] for row in names.collect()])
-    found = T.ArrayType(T.StringType())
+    words = [row[0] for row in names.collect()]
+    if not words:
+        return texts.select(*text_keys, F.col(text).alias(name)).where(F.lit(False))
+    sent, key = texts.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
 
-    @F.pandas_udf(found)
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def names_in(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton()
-        for word in sent.value:
-            automaton.add_word(word, word)
-        if sent.value:
-            automaton.make_automaton()
+        automaton = _automaton(key, sent.value)
         for batch in batches:
-            if sent.value:
-                yield batch.map(lambda t: list({word for _, word in automaton.iter(t)}))
-            else:
-                yield batch.map(lambda t: [])
+            yield batch.map(lambda t: list({word for _, word in automaton.iter(t)}))
 
     return texts.select(*text_keys, F.explode(names_in(text)).alias(name)).distinct()
 

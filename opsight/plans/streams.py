@@ -32,8 +32,8 @@ def _sessions(tb):
 def capture(tb):
     path = scratch_path(tb.spark, "stream-capture")
     order = [F.col("fixed_table_sequence").desc()]
-    stream_capture(_sessions(tb), f"{path}/log", SESSION_KEYS, order, f"{path}/checkpoint").awaitTermination()
-    return merged_capture(tb.spark, f"{path}/log", SESSION_KEYS)
+    stream_capture(_sessions(tb), path, SESSION_KEYS, order, f"{path}/checkpoint").awaitTermination()
+    return merged_capture(tb.spark, path, SESSION_KEYS)
 
 
 @query("q61_stream_concurrency", [t.session_snap], """

@@ -39,11 +39,16 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
 
 
-def write_version(df: DataFrame, path: str) -> int:
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete version, 0 without one."""
+    return max(_versions(spark, path), default=0)
+
+
+def write_version(df: DataFrame, path: str, number: int | None = None) -> int:
     """Write ``df`` whole as the next version. It may be derived from the version being replaced:
     readers move on only when the new one is complete."""
-    spark = df.sparkSession
-    number = max(_versions(spark, path), default=0) + 1
+    if number is None:
+        number = latest_version(df.sparkSession, path) + 1
     df.write.mode("overwrite").parquet(f"{path}/version={number}")
     return number
 
@@ -51,10 +56,9 @@ def write_version(df: DataFrame, path: str) -> int:
 def read_version(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
     """The given version, or the newest complete one."""
     if number is None:
-        versions = _versions(spark, path)
-        if not versions:
+        number = latest_version(spark, path)
+        if number == 0:
             raise FileNotFoundError(f"no complete version in {path}")
-        number = versions[-1]
     return spark.read.parquet(f"{path}/version={number}")
 
 
@@ -72,6 +76,12 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
     return spark.read.parquet(folder) if _finished(spark, folder) else None
 
 
+def latest_batch(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest complete batch of a log."""
+    done = _finished(spark, f"{path}/{BATCH}=*")
+    return max((int(s.getPath().getParent().getName().split("=")[1]) for s in done), default=None)
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a log, with their number in ``batch_id``."""
     return spark.read.option("basePath", path).parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
