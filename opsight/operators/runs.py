@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsight.operators.capture import CURRENT_RULES, SessionRules, capture_with_epoch_reset
 from opsight.operators.upsert import upsert_sessions, upsert_statement_stats
+from opsight.session import cut_lineage
 
 
 def capture_run(
@@ -15,8 +16,12 @@ def capture_run(
     now: datetime, epoch: datetime | Column, rules: SessionRules = CURRENT_RULES, exclude_text: str | None = None,
     on_duplicate: str = "error",
 ) -> tuple[DataFrame, DataFrame]:
-    """Both tables after the capture. Write the first before the second, each as a new version."""
-    batch = capture_with_epoch_reset(sessions, users, session_snap, now, epoch, rules)
+    """Both tables after the capture. Write the first before the second, each as a new version.
+
+    The captured rows of both are fixed first, so the two merges see one moment.
+    """
+    batch = cut_lineage(capture_with_epoch_reset(sessions, users, session_snap, now, epoch, rules))
+    statements = cut_lineage(statements)
     newest = [F.col("fixed_table_sequence").desc()]
     return (
         upsert_sessions(session_snap, batch, on_duplicate, newest),

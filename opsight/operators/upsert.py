@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from opsight.functions.matching import like_any
 from opsight.functions.times import moment
 from opsight.operators.capture import SESSION_KEYS, latest_per_key
 
@@ -28,26 +29,26 @@ def upsert(
     NULL match NULL. A target row matched by two batch rows is an error, raised while the result is
     computed, unless ``on_duplicate="latest"`` first keeps the first batch row per key in ``order``.
 
-    One shuffle of both sides by the key. The batch is counted per key first, so a key that fills
-    much of the batch reaches the join as one row.
+    One shuffle of both sides by the key, none of the target when the batch is small. The batch is
+    counted per key first, so a key that fills much of the batch reaches the join as one row. The
+    batch is read more than once: give it landed or with its lineage cut.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate is 'error' or 'latest'")
     batch = batch.select(*target.columns)
-    if on_duplicate == "latest":
-        if not order:
-            raise ValueError("'latest' needs an order")
-        newest = latest_per_key(batch, keys, order)
-        batch = newest if null_safe_keys else (
-            newest.where(_all_known(keys)).unionByName(batch.where(~_all_known(keys)))
-        )
-    counted = (batch if null_safe_keys else batch.where(_all_known(keys))).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_matches")
-    )
+    matching = batch if null_safe_keys else batch.where(_all_known(keys))
+    counted = matching.groupBy(*keys).agg(F.count(F.lit(1)).alias("_matches"))
     renamed = counted.select(*[F.col(k).alias(f"_{k}") for k in keys], "_matches")
     same = [
         target[k].eqNullSafe(renamed[f"_{k}"]) if null_safe_keys else target[k] == renamed[f"_{k}"] for k in keys
     ]
+    if on_duplicate == "latest":
+        if not order:
+            raise ValueError("'latest' needs an order")
+        added = latest_per_key(matching, keys, order)
+        if not null_safe_keys:
+            added = added.unionByName(batch.where(~_all_known(keys)))
+        return target.join(renamed, same, "left_anti").unionByName(added)
     stays = (
         F.when(F.col("_matches") > 1, F.raise_error(F.lit("a target row is matched by several batch rows")))
         .otherwise(F.col("_matches").isNull())
@@ -95,8 +96,6 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> Dat
 
 def insert_missing_users(dim: DataFrame, source: DataFrame, created_after, spaces: list[str]) -> DataFrame:
     """Add users created after a day whose default space fits a name or LIKE pattern; none is changed."""
-    from opsight.functions.matching import like_any
-
     wanted = source.where(
         (F.col("created").cast("date") > F.lit(created_after)) & like_any(F.col("default_tablespace"), spaces)
     )
