@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import defaultdict
 
@@ -13,7 +14,7 @@ from opsight.llm import arrays
 from opsight.session import scratch_path
 
 #: Bytes of text that are tokenised together; a longer document is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 24 << 20
 #: Distinct words given to the tokenizer in one call.
 _CALL = 4096
 _ready: dict[str, object] = {}
@@ -32,42 +33,60 @@ def split_words(texts: arrays.Texts) -> arrays.Runs:
     """Cuts in front of single spaces between two other characters, where byte-level tokenizers cut too."""
     data, offsets = texts
     n = len(data)
-    cut = np.zeros(n, bool)
-    if n > 2:
-        left, right = data[:-2], data[2:]
-        wide = _END[left].copy()
-        wide[1:] &= _BEFORE_END[data[:-3]]
-        cut[1:-1] = (data[1:-1] == 0x20) & (left > 0x20) & (right > 0x20) & ~wide & ~_BEGIN[right]
+    at = np.flatnonzero(data == 0x20)
+    at = at[(at > 0) & (at < n - 1)]
+    left, right = data[at - 1], data[at + 1]
+    at = at[(left > 0x20) & (right > 0x20) & ~(_END[left] & _BEFORE_END[data[np.maximum(at - 2, 0)]]) & ~_BEGIN[right]]
+    cut = np.zeros(n + 1, bool)
+    cut[at] = True
     # the neighbours must be of the same text
-    cut[offsets[:-1][offsets[:-1] < n]] = False
-    ends = offsets[1:] - 1
-    cut[ends[(ends >= 0) & (ends < n)]] = False
-    filled = offsets[:-1][np.diff(offsets) > 0]
-    start = np.union1d(np.flatnonzero(cut), filled)
+    cut[offsets[1:] - 1] = False
+    cut[offsets] = True
+    cut[n] = False
+    start = np.flatnonzero(cut)
     return arrays.Runs(start, np.append(start[1:], n) if len(start) else start, np.searchsorted(start, offsets))
 
 
-def _tokenizer(path: str):
-    if path not in _ready:
+def _encoder(path: str, ranks: str | None):
+    """The function that gives the ids of a list of words, made once by each Python worker."""
+    if (path, ranks) not in _ready:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _ready[path] = Tokenizer.from_file(path)
-    return _ready[path]
+        tokenizer = Tokenizer.from_file(path)
 
+        def encode(words: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
 
-def token_ids(texts: arrays.Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
+        _ready[path, ranks] = encode
+        if ranks:
+            import base64
+
+            import public_tokenizers
+            import tiktoken
+
+            with open(ranks, "rb") as lines:
+                merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            same = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
+                                     special_tokens={}).encode_ordinary
+            special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+            _ready[path, ranks] = lambda words: [
+                encode([w])[0] if any(s in w for s in special) else same(w) for w in words
+            ]
+    return _ready[path, ranks]
+
+
+def token_ids(texts: arrays.Texts, path: str, ranks: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row and where each text's ids begin; each distinct word is encoded once."""
     spans = split_words(texts)
     coded = arrays.pieces_array(texts.data, spans).dictionary_encode()
-    tokenizer, ids, lengths = _tokenizer(path), [], []
+    encode, ids, lengths = _encoder(path, ranks), [], []
     for begin in range(0, len(coded.dictionary), _CALL):
-        words = [w.decode("utf-8") for w in coded.dictionary.slice(begin, _CALL).to_pylist()]
-        for made in tokenizer.encode_batch(words, add_special_tokens=False):
-            ids.append(np.array(made.ids, np.uint32))
-            lengths.append(len(ids[-1]))
+        made = encode([w.decode("utf-8") for w in coded.dictionary.slice(begin, _CALL).to_pylist()])
+        ids.append(np.array(list(itertools.chain.from_iterable(made)), np.uint32))
+        lengths += map(len, made)
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
     length = np.array(lengths, np.int64)
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -146,8 +165,8 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool, id_col: str,
-                     text_col: str) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, tokenizer: str, ranks: str | None, capacity: int, end_id: int,
+                     with_ids: bool, id_col: str, text_col: str) -> DataFrame:
     """A row per piece of a document, with its place among the pieces of its length in its block."""
 
     def cut(batches):
@@ -156,7 +175,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
         base, at = TaskContext.get().partitionId() << 32, 0
         for block in arrays.blocks(batches, BLOCK_BYTES):
             texts = arrays.texts_of(block.column("text"))
-            ids, first = token_ids(texts, tokenizer)
+            ids, first = token_ids(texts, tokenizer, ranks)
             n = block.num_rows
             total = np.diff(first) + 1
             whole = np.full(len(ids) + n, end_id, "<u4")
@@ -193,11 +212,12 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
     return docs.sparkSession.read.parquet(path)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = 2048, end_id: int = 0,
+         with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Best-fit-decreasing packing of ``docs`` into sequences of at most ``capacity`` tokens.
 
-    A document is its ids by ``tokenizer`` (a file that executors can read) and then ``end_id``. A longer one
+    A document is its ids by ``tokenizer`` (a file that executors can read) and then ``end_id``; ``ranks``
+    may name the same vocabulary as a rank file, whose library is faster and gives the same ids. A longer one
     is cut into pieces of ``capacity``, of which the first may be shorter. Returns a row per piece:
     ``id_col``, piece, start, length, ids_crc32, sequence_id, offset, and with ``with_ids`` its ids.
 
@@ -206,7 +226,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     length, are taken by block. A null text is an empty one and gives the end id alone; repeated rows
     and null ids are packed like others; an empty table gives no rows; other columns are not looked at.
     """
-    pieces = tokenised_pieces(docs, tokenizer, capacity, end_id, with_ids, id_col, text_col)
+    pieces = tokenised_pieces(docs, tokenizer, ranks, capacity, end_id, with_ids, id_col, text_col)
     here = pieces.groupBy("length", "block").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in here.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = best_fit_plan(counts, capacity)

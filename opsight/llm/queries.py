@@ -25,7 +25,8 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from opsight.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 @query
