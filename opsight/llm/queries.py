@@ -29,6 +29,20 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@query
+def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.quality import clean_lines
+
+    return clean_lines(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
