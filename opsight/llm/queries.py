@@ -50,6 +50,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
