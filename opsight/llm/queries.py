@@ -26,6 +26,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.decontamination import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
