@@ -33,6 +33,13 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.passages import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
