@@ -50,6 +50,13 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@query
+def op5_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.lm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from opsight.llm.simhash import near_duplicates

@@ -21,12 +21,12 @@ from opsight.session import scratch_path
 BATCH_BYTES = 16 << 20
 
 _SCHEMA = ("batch long, word binary, code int, marked long, n_all long, ids array<bigint>, n_bytes array<bigint>, "
-           "flags array<boolean>, first binary, codes binary, counts binary")
+           "flags array<boolean>, tags array<bigint>, first binary, codes binary, counts binary")
 
 
 def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndarray, arrays.Runs]],
                   name: str) -> tuple[DataFrame, DataFrame]:
-    """Cut the texts of ``docs`` (id, text, flag) into words; returns ``batches`` and ``words``.
+    """Cut the texts of ``docs`` (id, text, flag, tag) into words; returns ``batches`` and ``words``.
 
     ``split`` gives the bytes to use and the words in them. ``words`` has (batch, word, code, marked, n_all)
     with the occurrences in flagged and in all documents; ``batches`` has for each batch its documents and
@@ -65,6 +65,7 @@ def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndar
                 batch, 1, ids=pa.array([block.column("id").to_pylist()], pa.list_(pa.int64())),
                 n_bytes=pa.array([np.diff(texts.offsets)], pa.list_(pa.int64())),
                 flags=pa.array([flag], pa.list_(pa.bool_())),
+                tags=pa.array([block.column("tag").to_pylist()], pa.list_(pa.int64())),
                 first=pa.array([first.astype(np.uint32).tobytes()]),
                 codes=pa.array([step.astype(np.uint32).tobytes()]),
                 counts=pa.array([count.astype(np.uint32).tobytes()]),
@@ -79,7 +80,7 @@ def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndar
 
 _TYPES = {
     "word": pa.binary(), "code": pa.int32(), "marked": pa.int64(), "n_all": pa.int64(), "ids": pa.list_(pa.int64()),
-    "n_bytes": pa.list_(pa.int64()), "flags": pa.list_(pa.bool_()), "first": pa.binary(), "codes": pa.binary(),
+    "n_bytes": pa.list_(pa.int64()), "flags": pa.list_(pa.bool_()), "tags": pa.list_(pa.int64()), "first": pa.binary(), "codes": pa.binary(),
     "counts": pa.binary(),
 }
 
@@ -91,7 +92,7 @@ def _row(batch: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
 
 
 def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, str]) -> DataFrame:
-    """One row per document: id, flag, n_bytes, and the sum of each value over its words, repeats counted.
+    """One row per document: id, flag, tag, n_bytes, and the sum of each value over its words, repeats counted.
 
     ``values`` has (batch, code, one column per name of ``sums``), a row for every word of every batch;
     ``sums`` gives each result's type, ``long`` or ``double``.
@@ -101,7 +102,7 @@ def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, str]
         whole = batch.to_pylist()
         code = found.column("code").to_numpy()
         size = int(code.max()) + 1 if len(code) else 0
-        out = {"id": [], "flag": [], "n_bytes": []}
+        out = {"id": [], "flag": [], "tag": [], "n_bytes": []}
         totals = {n: [] for n in sums}
         for b in whole:
             first = np.frombuffer(b["first"], np.uint32).astype(np.int64)
@@ -116,13 +117,14 @@ def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, str]
                 totals[n].append(part[first[1:]] - part[first[:-1]])
             out["id"] += b["ids"]
             out["flag"] += b["flags"]
+            out["tag"] += b["tags"]
             out["n_bytes"] += b["n_bytes"]
         columns = {"id": pa.array(out["id"], pa.int64()), "flag": pa.array(out["flag"], pa.bool_()),
-                   "n_bytes": pa.array(out["n_bytes"], pa.int64())}
+                   "tag": pa.array(out["tag"], pa.int64()), "n_bytes": pa.array(out["n_bytes"], pa.int64())}
         for n, kind in sums.items():
             columns[n] = pa.array(np.concatenate(totals[n]) if totals[n] else [],
                                   pa.int64() if kind == "long" else pa.float64())
         return pa.table(columns)
 
-    schema = ", ".join(["id bigint, flag boolean, n_bytes bigint", *(f"{n} {kind}" for n, kind in sums.items())])
+    schema = ", ".join(["id bigint, flag boolean, tag bigint, n_bytes bigint", *(f"{n} {kind}" for n, kind in sums.items())])
     return batches.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(add, schema)
