@@ -1,7 +1,66 @@
-"""The corpus pipeline: stages that each take the documents the one before kept."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
+Each stage takes (spark, docs, sf_dir), the documents that the one before kept, and its decisions take effect:
+what it rejects or replaces is gone for the next one. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from opsight.llm import decontamination, packing, pii, quality, simhash
+from opsight.session import scratch_path
+
+#: SQL can express neither the line rules' text hashes nor fingerprints, walks, graph scores or packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failing lines go; documents that the base rules reject or that lose over half of their text go."""
+    return _counted(quality.cleaned(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    return simhash.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, up to a fifth of its words edited, go."""
+    return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by the name of its kind; no document goes."""
+    return _counted(pii.redact(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("personal_data", personal_data),
+    ("best_fit_packing", best_fit_packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet in the shared folder and read again by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -34,6 +34,21 @@ class Texts(NamedTuple):
     offsets: np.ndarray
 
 
+def change_rows(docs, text_col: str, limit: int, change):
+    """``docs`` with its own columns, through ``change(texts)`` of each block: which rows stay, and their new
+    text column or None for the old one."""
+
+    def run(batches):
+        for block in blocks(batches, limit, text_col):
+            keep, text = change(texts_of(block.column(text_col)))
+            if text is not None:
+                at = block.schema.get_field_index(text_col)
+                block = block.set_column(at, block.schema.field(at), text)
+            yield block.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 class Runs(NamedTuple):
     """Runs of bytes, such as words: text i has those from ``first[i]`` to ``first[i + 1]``."""
 

@@ -259,3 +259,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for items in _item_blocks(benchmark, item_col, item_text_col):
         found = found.unionByName(flat.mapInArrow(search(context.broadcast(items)), schema))
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text_col: str = "text") -> DataFrame:
+    """``docs`` with its own columns, without the rows that hold a benchmark item as ``contaminated`` finds it."""
+    context = docs.sparkSession.sparkContext
+
+    def clean(shared):
+        def change(texts):
+            hashes, spans = word_hashes(texts)
+            keep = np.ones(len(texts.offsets) - 1, bool)
+            keep[[t for t, _ in matches(hashes, spans.first, shared.value)]] = False
+            return keep, None
+
+        return change
+
+    for items in _item_blocks(benchmark, item_col, item_text_col):
+        docs = arrays.change_rows(docs, text_col, BLOCK_BYTES, clean(context.broadcast(items)))
+    return docs

@@ -152,29 +152,30 @@ def bootstrap(words: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
     return best.select("instance", F.col("b.kind").alias("kind"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """Per row: ``id_col``, base and all spans as (start, kind number, end), and with ``with_text`` the text.
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_rows: bool = False) -> DataFrame:
+    """Per row: id, base and all spans as (start, kind number, end), and with ``with_rows`` the row as ``doc``.
 
     The texts are read once; their spans and candidate words go to a table in the shared folder.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     path = scratch_path(spark, "identifiers")
-    docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).select(
+    docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.struct(*docs.columns).alias("doc")).select(
         F.monotonically_increasing_id().alias("row"), "id", base_spans(F.col("text")).alias("base"),
-        candidates(F.col("text")).alias("words"), *["text"] * with_text).write.parquet(path)
+        candidates(F.col("text")).alias("words"), *["doc"] * with_rows).write.parquet(path)
     rows = spark.read.parquet(path)
     words = spark.read.parquet(path).where(F.size("words") > 0).select("row", "base", F.explode("words").alias("w")).select(
         "row", "w.start", "w.end", F.col("w.value").alias("instance"), _shape(F.col("w.value")).alias("shape"),
         "w.left", "w.right",
         F.get(F.expr("filter(base, s -> s.start < w.end AND s.end > w.start)"), F.lit(0))["kind"].alias("kind"))
     found = bootstrap(words).withColumnRenamed("kind", "new_kind")
-    more = words.where("kind IS NULL").join(found, "instance").groupBy("row").agg(F.collect_list(F.struct(
-        "start", F.col("new_kind").alias("kind"), "end")).alias("more"))
+    # written, so that its size is known when the join is planned
+    path = scratch_path(spark, "found-identifiers")
+    words.where("kind IS NULL").join(found, "instance").groupBy("row").agg(F.collect_list(F.struct(
+        "start", F.col("new_kind").alias("kind"), "end")).alias("more")).write.parquet(path)
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return rows.drop("words").join(more, "row", "left").select(
-        F.col("id").alias(id_col), "base",
-        F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"), *["text"] * with_text)
+    return rows.drop("words").join(spark.read.parquet(path), "row", "left").select(
+        "id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"), *["doc"] * with_rows)
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,24 +187,26 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = find(docs, id_col, text_col)
     counts = [F.size(F.expr(f"filter(base, s -> s.kind = {n})")).cast("long").alias(f"n_{kind}")
               for n, kind in enumerate(KINDS)]
-    return found.select(id_col, *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+    return found.select(F.col("id").alias(id_col), *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
                         spans_text(F.col("spans")).alias("spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``text_col`` with every span, base or found, replaced by its kind in brackets.
+    """``docs`` with its own columns, every span, base or found, replaced by its kind in brackets.
 
-    Of overlapping spans the first, by start and kind, gives the name. A null text comes back empty.
+    Of overlapping spans the first, by start and kind, gives the name. A null text stays null.
     """
-    found = find(docs, id_col, text_col, with_text=True)
+    found = find(docs, id_col, text_col, with_rows=True)
+    text = F.col("doc").getField(text_col)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     made = F.aggregate(
         "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("made")),
         lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
             s["end"].alias("at"),
             F.when(s["start"] < acc["at"], acc["made"]).otherwise(F.concat(
-                acc["made"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]),
+                acc["made"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
                 F.element_at(names, s["kind"] + 1))).alias("made"))),
-        lambda acc: F.concat(acc["made"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
+        lambda acc: F.concat(acc["made"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    return found.select(id_col, F.when(F.size("spans") == 0, F.col("text")).otherwise(made).alias(text_col))
+    new = F.when(F.size("spans") == 0, text).otherwise(made)
+    return found.select(*[(new if c == text_col else F.col("doc").getField(c)).alias(c) for c in docs.columns])

@@ -124,6 +124,32 @@ def measures(texts: arrays.Texts) -> tuple[dict[str, np.ndarray], np.ndarray, ar
     }, stays, line
 
 
+def without_lines(texts: arrays.Texts, stays: np.ndarray, line: arrays.Runs) -> pa.Array:
+    """The texts without the lines that don't stay; such a line takes the line break behind it along."""
+    drop = np.zeros(len(texts.data) + 1, np.int32)
+    gone = ~stays
+    np.add.at(drop, line.start[gone], 1)
+    np.add.at(drop, np.minimum(line.end[gone] + 1, texts.offsets[1:][line.text_of()[gone]]), -1)
+    keep = np.cumsum(drop[:-1]) == 0
+    place = np.concatenate([[0], np.cumsum(keep)])[texts.offsets].astype(np.int64)
+    left = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(place) - 1, [None, pa.py_buffer(place), pa.py_buffer(texts.data[keep])])
+    return left.cast(pa.large_string()).cast(pa.string())
+
+
+def cleaned(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with its own columns: kept rows only, their texts without the failing lines.
+
+    What is said of ``clean_lines`` holds here; a null text is rejected, as it has no words.
+    """
+
+    def change(texts):
+        found, stays, line = measures(texts)
+        return found["kept"], without_lines(texts, stays, line)
+
+    return arrays.change_rows(docs, text_col, BLOCK_BYTES, change)
+
+
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 with_text: bool = False) -> DataFrame:
     """The counts, the verdict and, with ``with_text``, the text without its failing lines, per row.
@@ -143,18 +169,7 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             found, stays, line = measures(texts)
             columns = {"id": block.column("id"), **{c: pa.array(v) for c, v in found.items()}}
             if with_text:
-                # a removed line takes the line break behind it along
-                drop = np.zeros(len(texts.data) + 1, np.int8)
-                gone = ~stays
-                np.add.at(drop, line.start[gone], 1)
-                ends = np.append(texts.offsets[1:], len(texts.data))[np.minimum(line.text_of()[gone], block.num_rows)]
-                np.add.at(drop, np.minimum(line.end[gone] + 1, ends), -1)
-                keep = np.cumsum(drop[:-1], dtype=np.int8) == 0
-                place = np.concatenate([[0], np.cumsum(keep)])[texts.offsets]
-                left = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), block.num_rows,
-                    [None, pa.py_buffer(place.astype(np.int64)), pa.py_buffer(texts.data[keep])])
-                columns["clean"] = left.cast(pa.large_string()).cast(pa.string())
+                columns["clean"] = without_lines(texts, stays, line)
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "id long, " + ", ".join(f"{c} long" for c in names) + ", base_failed boolean, kept boolean"

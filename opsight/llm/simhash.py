@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from opsight.llm import arrays
 from opsight.llm.components import components
@@ -38,16 +38,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
-    """``id`` and ``fp`` (64 bits as a long) per row."""
+    """``id``, ``tag`` (a hash of the text) and ``fp`` (64 bits as a long) per row."""
 
     def make(batches):
         for batch in batches:
             column = batch.column("text").cast(pa.binary())
             made = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in column), np.uint64, len(column))
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "fp": pa.array(made.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "tag": batch.column("tag"),
+                                              "fp": pa.array(made.view(np.int64))})
 
-    flat = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return flat.mapInArrow(make, "id long, fp long")
+    flat = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"),
+                       F.col(text_col).alias("text"))
+    return flat.mapInArrow(make, "id long, tag long, fp long")
 
 
 def block_layout(distance: int) -> list[tuple[int, int, int]]:
@@ -123,17 +125,8 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return at_home.join(copies, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``id_col``, fingerprint (16 hex digits), component_id and n_links for every row of ``docs``.
-
-    Rows of one fingerprint are one node, so exact and most near copies cost one row; distinct fingerprints
-    meet at anchors, and their components come from joins. component_id is the smallest id
-    reachable, n_links the number of other fingerprints linked to the row's own. A null or empty text has no
-    words and fingerprint zero, linked like any other. Repeated rows give a row each; null ids
-    are passed over when the smallest id is sought (it is null if a component has no other); an empty table
-    gives no rows; other columns are not looked at.
-    """
+def classes(docs: DataFrame, distance: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """id, tag, fp, component_id, root (the component's smallest fingerprint) and n_links per row of ``docs``."""
     path = scratch_path(docs.sparkSession, "fingerprints")
     fingerprints(docs, id_col, text_col, shingle).write.parquet(path)
     rows = docs.sparkSession.read.parquet(path)
@@ -147,7 +140,34 @@ def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3, id_col
     nodes = prints.join(root, "fp", "left").join(degree, "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = nodes.join(named, "root").select("fp", "component_id", "n_links")
-    return rows.join(classes, "fp").select(
+    return rows.join(nodes.join(named, "root").select("fp", "component_id", "root", "n_links"), "fp")
+
+
+def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``id_col``, fingerprint (16 hex digits), component_id and n_links for every row of ``docs``.
+
+    Rows of one fingerprint are one node, so exact and most near copies cost one row; distinct fingerprints
+    meet at anchors, and their components come from joins. component_id is the smallest id
+    reachable, n_links the number of other fingerprints linked to the row's own. A null or empty text has no
+    words and fingerprint zero, linked like any other. Repeated rows give a row each; null ids
+    are passed over when the smallest id is sought (it is null if a component has no other); an empty table
+    gives no rows; other columns are not looked at.
+    """
+    return classes(docs, distance, shingle, id_col, text_col).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links",
     )
+
+
+def one_of_each(docs: DataFrame, distance: int = 3, shingle: int = 3, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``docs`` with its own columns, one row of each component: that of the smallest id, null ids last, then
+    of the smallest hash of its text; of rows equal in both any one stays."""
+    found = classes(docs, distance, shingle, id_col, text_col)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("k"))
+    none = -(1 << 63)
+    first = first.select(F.coalesce("k.id", F.lit(none)).alias("__id"), F.col("k.tag").alias("__tag"))
+    marked = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(none))).withColumn(
+        "__tag", F.xxhash64(text_col))
+    turn = F.row_number().over(Window.partitionBy("__id", "__tag").orderBy("__id"))
+    return marked.join(first, ["__id", "__tag"]).withColumn("__turn", turn).where("__turn = 1").select(*docs.columns)
