@@ -54,7 +54,7 @@ def _processor(model: str):
 
 
 def piece_counts(words: DataFrame, model: str) -> DataFrame:
-    """``words`` (word binary, distinct) with ``n_tokens``; each is encoded once, on its own."""
+    """``words`` (word, places) as (places, value), the number of its pieces; each is encoded once, on its own."""
 
     def count(batches):
         processor = _processor(model)
@@ -62,9 +62,9 @@ def piece_counts(words: DataFrame, model: str) -> DataFrame:
             word = batch.column("word").to_pylist()
             # an empty pre-token stands for a lone space, which is one piece
             lengths = [max(1, len(ids)) for ids in processor.encode([w.decode("utf-8") for w in word], num_threads=1)]
-            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "n_tokens": pa.array(lengths, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"places": batch.column("places"), "value": pa.array(lengths, pa.int64())})
 
-    return words.mapInArrow(count, "word binary, n_tokens long")
+    return words.select("word", "places").mapInArrow(count, "places array<bigint>, value long")
 
 
 def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
@@ -79,8 +79,7 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     flat = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.lit(True).alias("flag"), F.lit(0).cast("long").alias("tag"))
     batches, words = wordtable.write_batches(flat, split_pieces, "pretokens")
-    counted = piece_counts(words.select("word").distinct(), model)
-    values = words.select("batch", "code", "word").join(counted, "word").select("batch", "code", "n_tokens")
-    return wordtable.sum_per_document(batches, values, {"n_tokens": "long"}).select(
+    return wordtable.sum_per_document(
+        batches, piece_counts(words, model), {"n_tokens": lambda v: v}, {"n_tokens": "long"}).select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
     )

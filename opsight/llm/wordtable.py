@@ -2,7 +2,7 @@
 document has them.
 
 A value that belongs to a word over the whole corpus (its count, its length in pieces) is found by word in
-one shuffle, sent back as (batch, code, value), and summed per document there. A key has at most one row
+one shuffle, sent back to the word's places (batch and code), and summed per document there. A key has at most one row
 per batch, so no word, however common, makes a large group, and what is shuffled grows with the input.
 """
 
@@ -12,15 +12,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, functions as F
 
 from opsight.llm import arrays
 from opsight.session import scratch_path
 
-#: Bytes of text in a batch; a longer document is a batch of its own.
-BATCH_BYTES = 16 << 20
+#: Bytes of text in a batch; a longer document is a batch of its own. Words are cut from smaller blocks.
+BATCH_BYTES, BLOCK_BYTES = 32 << 20, 4 << 20
 
-_SCHEMA = ("batch long, word binary, code int, marked long, n_all long, ids array<bigint>, n_bytes array<bigint>, "
+#: A word's place is its batch and, in so many bits, its code there.
+CODE_BITS = 26
+_SCHEMA = ("batch long, word binary, place long, marked long, ids array<bigint>, n_bytes array<bigint>, "
            "flags array<boolean>, tags array<bigint>, first binary, codes binary, counts binary")
 
 
@@ -28,8 +31,8 @@ def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndar
                   name: str) -> tuple[DataFrame, DataFrame]:
     """Cut the texts of ``docs`` (id, text, flag, tag) into words; returns ``batches`` and ``words``.
 
-    ``split`` gives the bytes to use and the words in them. ``words`` has (batch, word, code, marked, n_all)
-    with the occurrences in flagged and in all documents; ``batches`` has for each batch its documents and
+    ``split`` gives the bytes to use and the words in them. ``words`` has a row per distinct word: word, marked
+    (occurrences in flagged documents) and its places, one per batch at most; ``batches`` has for each batch its documents and
     their (code, count) pairs. Both are read from one table in the shared folder, so the texts are cut once
     and a lost executor costs no second cut.
     """
@@ -37,94 +40,118 @@ def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndar
     def cut(batches):
         from pyspark import TaskContext
 
-        base, at = TaskContext.get().partitionId() << 32, 0
-        for block in arrays.blocks(batches, BATCH_BYTES):
-            texts = arrays.texts_of(block.column("text"))
-            data, spans = split(texts)
-            coded = arrays.pieces_array(data, spans).dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            known = len(coded.dictionary)
-            text = spans.text_of()
-            flag = block.column("flag").fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
-            marked = np.bincount(code[flag[text]], minlength=known)
-            total = np.bincount(code, minlength=known)
-            pair, count = np.unique(text * max(known, 1) + code, return_counts=True)
-            owner = pair // max(known, 1)
-            first = np.searchsorted(owner, np.arange(block.num_rows + 1))
-            step = pair - owner * max(known, 1)
-            step[1:] -= np.where(owner[1:] == owner[:-1], pair[:-1] - owner[:-1] * max(known, 1), 0)
+        base, at = TaskContext.get().partitionId() << 16, 0
+        for whole in arrays.blocks(batches, BATCH_BYTES):
+            parts, firsts, sizes = [], [], []
+            for block in arrays.blocks([whole], BLOCK_BYTES):
+                texts = arrays.texts_of(block.column("text"))
+                data, spans = split(texts)
+                parts.append(arrays.pieces_array(data, spans).cast(pa.binary()))
+                firsts.append(spans.first)
+                sizes.append(np.diff(texts.offsets))
+            # one dictionary over all blocks
+            coded = pa.chunked_array(parts, pa.binary()).dictionary_encode()
+            parts.clear()
+            dictionary = coded.chunk(coded.num_chunks - 1).dictionary if coded.num_chunks else pa.array([], pa.binary())
+            known, row = len(dictionary), 0
+            flag = whole.column("flag").fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+            marked, total = np.zeros(known, np.int64), np.zeros(known, np.int64)
+            lengths, steps, counts = [np.zeros(1, np.int64)], [], []
+            for first, chunk in zip(firsts, coded.chunks):
+                code = chunk.indices.to_numpy(zero_copy_only=False)
+                n = len(first) - 1
+                text = np.repeat(np.arange(n), np.diff(first))
+                total += np.bincount(code, minlength=known)
+                marked += np.bincount(code[flag[row:row + n][text]], minlength=known)
+                pair, count = np.unique(text * known + code, return_counts=True)
+                owner, step = np.divmod(pair, max(known, 1))
+                step[1:] -= np.where(owner[1:] == owner[:-1], step[:-1], 0)
+                lengths.append(np.bincount(owner, minlength=n))
+                steps.append(step.astype(np.uint32))
+                counts.append(count.astype(np.uint32))
+                row += n
             batch = base + at
             at += 1
             for begin in range(0, known, 1 << 16):
-                part = coded.dictionary.slice(begin, 1 << 16)
+                part = dictionary.slice(begin, 1 << 16)
                 end = begin + len(part)
-                yield _row(batch, len(part), word=part.cast(pa.binary()),
-                           code=pa.array(np.arange(begin, end, dtype=np.int32)),
-                           marked=pa.array(marked[begin:end]), n_all=pa.array(total[begin:end]))
+                yield _row(batch, len(part), word=part,
+                           place=pa.array((batch << CODE_BITS) + np.arange(begin, end)), marked=pa.array(marked[begin:end]))
             yield _row(
-                batch, 1, ids=pa.array([block.column("id").to_pylist()], pa.list_(pa.int64())),
-                n_bytes=pa.array([np.diff(texts.offsets)], pa.list_(pa.int64())),
+                batch, 1, ids=pa.array([whole.column("id").to_pylist()], pa.list_(pa.int64())),
+                n_bytes=pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
                 flags=pa.array([flag], pa.list_(pa.bool_())),
-                tags=pa.array([block.column("tag").to_pylist()], pa.list_(pa.int64())),
-                first=pa.array([first.astype(np.uint32).tobytes()]),
-                codes=pa.array([step.astype(np.uint32).tobytes()]),
-                counts=pa.array([count.astype(np.uint32).tobytes()]),
+                tags=pa.array([whole.column("tag").to_pylist()], pa.list_(pa.int64())),
+                first=pa.array([np.cumsum(np.concatenate(lengths)).astype(np.uint32).tobytes()]),
+                codes=pa.array([_packed(steps)]), counts=pa.array([_packed(counts)]),
             )
+            del coded, dictionary, steps, counts, marked
+            pa.default_memory_pool().release_unused()
 
     path = scratch_path(docs.sparkSession, name)
     docs.mapInArrow(cut, _SCHEMA).write.option("compression", "zstd").parquet(path)
     read = docs.sparkSession.read.parquet
-    batches = read(path).where("first IS NOT NULL").drop("word", "code", "marked", "n_all")
-    return batches, read(path).where("word IS NOT NULL").select("batch", "word", "code", "marked", "n_all")
+    batches = read(path).where("first IS NOT NULL").drop("word", "place", "marked")
+    words = read(path).where("word IS NOT NULL").groupBy("word").agg(
+        F.sum("marked").alias("marked"), F.collect_list("place").alias("places"))
+    return batches, words
 
 
 _TYPES = {
-    "word": pa.binary(), "code": pa.int32(), "marked": pa.int64(), "n_all": pa.int64(), "ids": pa.list_(pa.int64()),
+    "word": pa.binary(), "place": pa.int64(), "marked": pa.int64(), "ids": pa.list_(pa.int64()),
     "n_bytes": pa.list_(pa.int64()), "flags": pa.list_(pa.bool_()), "tags": pa.list_(pa.int64()), "first": pa.binary(), "codes": pa.binary(),
     "counts": pa.binary(),
 }
 
 
+def _packed(parts: list[np.ndarray]) -> bytes:
+    return zstandard.compress(b"".join(p.tobytes() for p in parts), 3)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint32)
+
+
 def _row(batch: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
     made = {"batch": pa.array(np.full(rows, batch, np.int64))}
     made |= {n: columns[n] if n in columns else pa.nulls(rows, kind) for n, kind in _TYPES.items()}
     return pa.RecordBatch.from_pydict(made)
 
 
-def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, str]) -> DataFrame:
-    """One row per document: id, flag, tag, n_bytes, and the sum of each value over its words, repeats counted.
+def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, Callable[[np.ndarray], np.ndarray]],
+                     kinds: dict[str, str]) -> DataFrame:
+    """One row per document: id, flag, tag, n_bytes, n_words, and sums over its words, repeats counted.
 
-    ``values`` has (batch, code, one column per name of ``sums``), a row for every word of every batch;
-    ``sums`` gives each result's type, ``long`` or ``double``.
+    ``values`` has (places, value), a row for every word; ``sums`` gives for each result what a word adds to
+    it, from the words' values, and ``kinds`` its type, ``long`` or ``double``.
     """
+    place = F.col("place")
+    values = values.select(F.explode("places").alias("place"), "value").select(
+        F.shiftright(place, CODE_BITS).alias("batch"), place.bitwiseAND(F.lit((1 << CODE_BITS) - 1)).alias("code"), "value")
 
     def add(batch: pa.Table, found: pa.Table) -> pa.Table:
-        whole = batch.to_pylist()
         code = found.column("code").to_numpy()
-        size = int(code.max()) + 1 if len(code) else 0
-        out = {"id": [], "flag": [], "tag": [], "n_bytes": []}
-        totals = {n: [] for n in sums}
-        for b in whole:
+        value = np.zeros(int(code.max()) + 1 if len(code) else 0, np.int64)
+        value[code] = found.column("value").to_numpy()
+        out = {n: [] for n in ("id", "flag", "tag", "n_bytes")}
+        totals = {n: [np.zeros(0, np.int64)] for n in ("n_words", *sums)}
+        for b in batch.to_pylist():
             first = np.frombuffer(b["first"], np.uint32).astype(np.int64)
-            count = np.frombuffer(b["counts"], np.uint32)
-            step = np.frombuffer(b["codes"], np.uint32).astype(np.int64)
-            run = np.concatenate([[0], np.cumsum(step)])
+            count = _unpacked(b["counts"])
+            run = np.concatenate([[0], np.cumsum(_unpacked(b["codes"]), dtype=np.int64)])
             place = run[1:] - np.repeat(run[first[:-1]], np.diff(first))
-            for n, kind in sums.items():
-                value = np.zeros(size, np.int64 if kind == "long" else np.float64)
-                value[code] = found.column(n).to_numpy()
-                part = np.concatenate([[0], np.cumsum(value[place] * count, dtype=value.dtype)])
+            for n, part in {"n_words": np.ones_like(value), **{n: f(value) for n, f in sums.items()}}.items():
+                part = np.concatenate([[0], np.cumsum(part[place] * count, dtype=part.dtype)])
                 totals[n].append(part[first[1:]] - part[first[:-1]])
-            out["id"] += b["ids"]
-            out["flag"] += b["flags"]
-            out["tag"] += b["tags"]
-            out["n_bytes"] += b["n_bytes"]
-        columns = {"id": pa.array(out["id"], pa.int64()), "flag": pa.array(out["flag"], pa.bool_()),
-                   "tag": pa.array(out["tag"], pa.int64()), "n_bytes": pa.array(out["n_bytes"], pa.int64())}
-        for n, kind in sums.items():
-            columns[n] = pa.array(np.concatenate(totals[n]) if totals[n] else [],
-                                  pa.int64() if kind == "long" else pa.float64())
+            for n, c in (("id", "ids"), ("flag", "flags"), ("tag", "tags"), ("n_bytes", "n_bytes")):
+                out[n] += b[c]
+        columns = {n: pa.array(v, pa.bool_() if n == "flag" else pa.int64()) for n, v in out.items()}
+        for n, parts in totals.items():
+            kind = pa.float64() if kinds.get(n) == "double" else pa.int64()
+            columns[n] = pa.array(np.concatenate(parts)).cast(kind)
+        pa.default_memory_pool().release_unused()
         return pa.table(columns)
 
-    schema = ", ".join(["id bigint, flag boolean, tag bigint, n_bytes bigint", *(f"{n} {kind}" for n, kind in sums.items())])
+    schema = "id bigint, flag boolean, tag bigint, n_bytes bigint, n_words bigint" + "".join(
+        f", {n} {kinds[n]}" for n in sums)
     return batches.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(add, schema)
