@@ -92,7 +92,8 @@ def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndar
     docs.mapInArrow(cut, _SCHEMA).write.option("compression", "zstd").parquet(path)
     read = docs.sparkSession.read.parquet
     batches = read(path).where("first IS NOT NULL").drop("word", "place", "marked")
-    words = read(path).where("word IS NOT NULL").groupBy("word").agg(
+    # a word has a row per batch at most, so nothing is gained by grouping before the shuffle
+    words = read(path).where("word IS NOT NULL").select("word", "place", "marked").repartition("word").groupBy("word").agg(
         F.sum("marked").alias("marked"), F.collect_list("place").alias("places"))
     return batches, words
 
