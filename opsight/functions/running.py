@@ -30,12 +30,19 @@ def running_total(
     )
     inside = F.coalesce(F.sum(value).over(before(*keys, "_bucket", by=order)), F.lit(0))
     return (
-        bucketed.join(starts, [*keys, "_bucket"])
+        _null_safe_join(bucketed, starts, [*keys, "_bucket"])
         .withColumn(out, F.col("_start") + inside)
         .drop("_bucket", "_start")
     )
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """An inner join on equal keys, of which two NULLs are equal too."""
+    right = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    return left.join(right, same).drop(*[f"_right_{c}" for c in on])
+
+
 def latest_rank(df: DataFrame, keys: list[str], order: str, bucket: Column, out: str) -> DataFrame:
     """``rank()`` over ``keys`` by ``order`` descending.
 
@@ -45,4 +52,4 @@ def latest_rank(df: DataFrame, keys: list[str], order: str, bucket: Column, out:
     counted = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_total(counted, keys, order, bucket, "_n", "_before", descending=True)
     ranks = ranks.select(*keys, order, (F.col("_before") + 1).alias(out))
-    return df.join(ranks, [*keys, order])
+    return _null_safe_join(df, ranks, [*keys, order])

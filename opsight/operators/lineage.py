@@ -11,9 +11,8 @@ from opsight.functions.times import moment
 from opsight.operators.contains import contains_pairs
 from opsight.session import cut_lineage
 
-# Owners whose tables count, and the text length the lineage search stops at.
+# Owners whose tables count.
 TABLE_OWNERS = ["%_DW", "%_PERIF"]
-TEXT_LIMIT = 32767
 
 
 def _literal_runs(pattern: Column) -> Column:
@@ -62,27 +61,23 @@ def refreshed_views(analysis: DataFrame, relations: DataFrame, source: DataFrame
     )
 
 
-def _texts(views: DataFrame, text_limit: int | None) -> DataFrame:
-    out = views.select(F.col("owner").alias("view_owner"), "view_name", "text", "text_length")
-    if text_limit is not None:
-        out = out.where(F.col("text_length") < text_limit)
-    return out.drop("text_length")
+def _texts(views: DataFrame) -> DataFrame:
+    return views.select(F.col("owner").alias("view_owner"), "view_name", "text")
 
 
 def view_table_lineage(views: DataFrame, mviews: DataFrame, tables: DataFrame,
-                       owners_like: list[str] | None = None, text_limit: int | None = TEXT_LIMIT,
-                       way: str = "auto") -> DataFrame:
+                       owners_like: list[str] | None = None, way: str = "auto") -> DataFrame:
     """The tables whose ``OWNER.TABLE`` occurs in the text of a view, per materialized view.
 
     The search is for the characters as they are: case matters, and a longer name also holds every
-    shorter name it starts with. Views at or above ``text_limit`` are left out; None takes them all.
+    shorter name it starts with. Texts are searched whole, at any length.
     """
     patterns = TABLE_OWNERS if owners_like is None else owners_like
     names = tables.where(like_any(F.col("owner"), patterns)).select(
         F.col("owner").alias("table_owner"), "table_name", F.concat("owner", F.lit("."), "table_name").alias("_full")
     )
     key = ["view_owner", "view_name"]
-    texts = _texts(views, text_limit).join(mviews.select(*key).distinct(), key, "left_semi")
+    texts = _texts(views).join(mviews.select(*key).distinct(), key, "left_semi")
     pairs = contains_pairs(texts, key, "text", names, "_full", way=way)
     return (
         pairs.join(names, "_full")
@@ -91,8 +86,7 @@ def view_table_lineage(views: DataFrame, mviews: DataFrame, tables: DataFrame,
     )
 
 
-def view_column_lineage(lineage: DataFrame, columns: DataFrame, views: DataFrame,
-                        text_limit: int | None = TEXT_LIMIT) -> DataFrame:
+def view_column_lineage(lineage: DataFrame, columns: DataFrame, views: DataFrame) -> DataFrame:
     """The columns of those tables whose name occurs in the text of the view.
 
     The narrow join comes first; texts are read once, next to the names looked for in them.
@@ -100,7 +94,7 @@ def view_column_lineage(lineage: DataFrame, columns: DataFrame, views: DataFrame
     names = columns.select(F.col("owner").alias("table_owner"), "table_name", F.col("column_name").alias("col_name"))
     return (
         lineage.join(names, ["table_owner", "table_name"])
-        .join(_texts(views, text_limit), ["view_owner", "view_name"])
+        .join(_texts(views), ["view_owner", "view_name"])
         .where(F.instr(F.col("text"), F.col("col_name")) > 0)
         .select("mview_owner", "mview_name", "view_owner", "view_name", "table_owner", "table_name", "col_name")
     )

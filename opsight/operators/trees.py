@@ -152,12 +152,15 @@ def heavy_leaf_history(top: DataFrame, executions: DataFrame, now: datetime, day
 
 def hierarchy_depth_first(df: DataFrame, node: str = "employee_id", parent: str = "manager_id",
                           label: str = "last_name") -> DataFrame:
-    """Level and indented label of every node below a root, depth first, siblings by label."""
-    key = F.array(F.struct(F.col(label).alias("label"), F.col(node).alias("id")))
+    """Level and indented label of every node below a root, depth first, siblings by label.
+
+    A node without a label comes last among its siblings and shows its indentation only.
+    """
+    key = F.array(F.struct(F.col(label).isNull().alias("none"), F.col(label).alias("label"), F.col(node).alias("id")))
     nodes = cut_lineage(df.select(node, parent, label))
     walked = walk_from_roots(nodes, node, parent, key, F.struct(F.col(node).alias("id")))
     return walked.orderBy("path").select(
-        node, "level", F.concat(F.repeat(F.lit("*"), (F.col("level") * 2).cast("int")), F.col(label)).alias("label")
+        node, "level", F.concat(F.repeat(F.lit("*"), (F.col("level") * 2).cast("int")), F.coalesce(label, F.lit(""))).alias("label")
     )
 
 

@@ -63,18 +63,20 @@ def drill_down(df: DataFrame, column: str, value) -> DataFrame:
 
 
 def parallel_workers(sessions: DataFrame, sql_area: DataFrame, processes: DataFrame, px_sessions: DataFrame,
-                     sql_keys: list[str], process_keys: list[str], active: Column | None = None) -> DataFrame:
+                     sql_keys: list[str], process_keys: list[str], active: Column | None = None,
+                     text_width: int | None = None) -> DataFrame:
     """Active sessions that work for a parallel query, with coordinator, statement and process.
 
-    The statement text is cut to 100 characters for display. The narrow worker list comes first, so
-    the statement texts meet only the sessions that remain.
+    ``text_width`` cuts the statement text for display; None shows it whole. The narrow worker list comes
+    first, so the statement texts meet only the sessions that remain.
     """
+    shown = F.col("sql_text") if text_width is None else F.substring("sql_text", 1, text_width)
     test = active if active is not None else F.col("status") == "ACTIVE"
     return (
         sessions.where(test)
         .join(px_sessions, "sid")
         .join(processes, process_keys)
         .join(sql_area, sql_keys)
-        .withColumn("sql_text", F.substring("sql_text", 1, 100))
+        .withColumn("sql_text", shown)
         .orderBy("qcsid", "sid")
     )

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -127,3 +128,13 @@ def test_trimmed_mean(make):
     assert phases.trimmed_weighted_mean(hist).first()[0] == pytest.approx((8 + 8 + 16) / 8)
     assert phases.trimmed_weighted_mean(hist, low=-1).first()[0] == pytest.approx(32 / 17, abs=1e-6)
     assert phases.trimmed_weighted_mean(hist.where("1 = 0")).first()[0] is None
+
+
+def test_latest_rank_keeps_rows_without_a_value(make):
+    from opsight.functions.running import latest_rank
+
+    df = make("day string, finish timestamp_ntz, id int", [
+        ("a", "2024-01-01 10:00:00", 1), ("a", "2024-01-01 11:00:00", 2), (None, None, 3), (None, None, 4),
+    ])
+    got = latest_rank(df, ["day"], "finish", F.hour("finish"), "r")
+    assert sorted((r["id"], r["r"]) for r in got.collect()) == [(1, 2), (2, 1), (3, 1), (4, 1)]

@@ -95,6 +95,14 @@ def test_depth_first_order_goes_by_label(make):
                    (3, "******Abel")]
 
 
+def test_a_node_without_label_comes_last(make):
+    df = make("employee_id long, manager_id long, last_name string", [
+        (1, None, "King"), (2, 1, None), (3, 1, "Zlotkey"), (4, 2, "Abel"), (5, None, None),
+    ])
+    got = [(r["level"], r["label"]) for r in trees.hierarchy_depth_first(df).collect()]
+    assert got == [(1, "**King"), (2, "****Zlotkey"), (2, "****"), (3, "******Abel"), (1, "**")]
+
+
 def test_number_rows(spark):
     assert [r["n"] for r in trees.number_rows(spark, 10).orderBy("n").collect()] == list(range(1, 11))
 
