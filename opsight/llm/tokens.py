@@ -77,7 +77,7 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     give a row each, an empty table gives none, and other columns are not looked at.
     """
     flat = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                       F.lit(True).alias("flag"), F.lit(0).cast("long").alias("tag"))
+                       F.lit(False).alias("flag"), F.lit(0).cast("long").alias("tag"))
     batches, words = wordtable.write_batches(flat, split_pieces, "pretokens")
     return wordtable.sum_per_document(
         batches, piece_counts(words, model), {"n_tokens": lambda v: v}, {"n_tokens": "long"}).select(

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -72,11 +73,12 @@ def write_batches(docs: DataFrame, split: Callable[[arrays.Texts], tuple[np.ndar
                 row += n
             batch = base + at
             at += 1
+            # in the order of the words, which the shuffle and the files compress better
+            order = pc.sort_indices(dictionary).to_numpy().astype(np.int64)
             for begin in range(0, known, 1 << 16):
-                part = dictionary.slice(begin, 1 << 16)
-                end = begin + len(part)
-                yield _row(batch, len(part), word=part,
-                           place=pa.array((batch << CODE_BITS) + np.arange(begin, end)), marked=pa.array(marked[begin:end]))
+                some = order[begin:begin + (1 << 16)]
+                yield _row(batch, len(some), word=dictionary.take(pa.array(some)),
+                           place=pa.array((batch << CODE_BITS) + some), marked=pa.array(marked[some]))
             yield _row(
                 batch, 1, ids=pa.array([whole.column("id").to_pylist()], pa.list_(pa.int64())),
                 n_bytes=pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
