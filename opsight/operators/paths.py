@@ -137,13 +137,36 @@ def critical_path(paths: DataFrame, root: str = "root_created_on") -> DataFrame:
     )
 
 
+def _loop_steps(rows: DataFrame) -> DataFrame | None:
+    """Steps that may lie on a loop of predecessors, None where there is no loop.
+
+    Every loop has a link from a step to one with the same or a lower id, and its steps lie between the
+    lowest and the highest of such links. Of the links in that range those without a link before or
+    after them fall away until no more do. Without such a link one aggregate is all it costs.
+    """
+    links = rows.select(F.col(PREVIOUS).alias("_a"), F.col(THIS).alias("_b")).where("_a IS NOT NULL AND _b IS NOT NULL")
+    low, high = links.where("_a >= _b").agg(F.min("_b"), F.max("_a")).first()
+    if low is None:
+        return None
+    links = cut_lineage(links.where(F.col("_a").between(low, high) & F.col("_b").between(low, high)).distinct())
+    count = links.count()
+    while count:
+        ends, begins = links.select(F.col("_b").alias("_a")), links.select(F.col("_a").alias("_b"))
+        links = cut_lineage(links.join(ends, "_a", "left_semi").join(begins, "_b", "left_semi"))
+        before, count = count, links.count()
+        if count == before:
+            return links.select(F.col("_a").alias(THIS)).distinct()
+    return None
+
+
 def critical_chains(steps: DataFrame, start: Column | None = None, label: Column | None = None,
                     root: str = "root_created_on") -> DataFrame:
     """``critical_path`` straight from the steps, without building every chain.
 
-    Of the pieces with the same end, pointer and number of steps only the one with the largest sum
-    stays: longer chains extend all of them alike, so the largest sum and the greatest length per
-    root come out the same, as long as the steps hold no loop. The rounds carry numbers only; the
+    Of the pieces with the same end, pointer, number of steps and steps on loops only the one with the
+    largest sum stays: longer chains extend all of them alike, as a chain can meet only steps on loops
+    twice, so the largest sum and the greatest length per root come out the same. Without loops the
+    pieces are as few as (end, pointer, length); each step on a loop adds to that. The rounds carry numbers only; the
     readable path is put together for the winning chains at the end. (Step, previous step)
     identifies a row; of several the greatest text shows.
     """
@@ -154,15 +177,20 @@ def critical_chains(steps: DataFrame, start: Column | None = None, label: Column
             _is_start(start).alias("_start"),
         )
     )
+    looped = _loop_steps(rows)
+    rows = rows.withColumn("loop_ids", F.array().cast("array<bigint>")) if looped is None else rows.join(
+        looped.withColumn("_looped", F.lit(True)), THIS, "left"
+    ).withColumn("loop_ids", F.when(F.col("_looped"), F.array(THIS)).otherwise(F.array().cast("array<bigint>"))).drop("_looped")
 
     def best(pieces: DataFrame) -> DataFrame:
-        keys = [THIS, PREVIOUS, "_to", "seq_length", root, "_show"]
+        keys = [THIS, PREVIOUS, "_to", "seq_length", root, "_show", "loop_ids"]
         return pieces.groupBy(*keys).agg(F.max(F.struct("mins", "step_ids")).alias("b")).select(
             *keys, "b.mins", "b.step_ids"
         ).select(*pieces.columns)
 
     chains = _grow(rows, {
         "seq_length": F.col("seq_length") + F.col("_seq_length"), "mins": F.col("mins") + F.col("_mins"),
+        "loop_ids": F.array_sort(F.concat("_loop_ids", "loop_ids")),
     }, best)
     mins = F.round("mins", 6)
     won = (

@@ -11,9 +11,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opsight.operators.capture import SESSION_KEYS, latest_per_key
 
 
-def expand(df: DataFrame, count: str = "matches") -> DataFrame:
-    """Each row as often as its number says."""
-    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col(count).cast("int")))).drop("_copy", count)
+def expand(df: DataFrame, count: str = "matches", portion: int = 1 << 16) -> DataFrame:
+    """Each row as often as its number says, however large that is; none at all for 0, less or NULL.
+
+    The copies are dealt out in portions, so no array is longer than ``portion`` or the number of portions.
+    """
+    copies, size = F.col(count).cast("long"), F.lit(portion).cast("long")
+    portions = df.where(copies > 0).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1, size))
+    )
+    share = F.least(size, copies - F.col("_from")).cast("int")
+    return portions.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), share))).drop("_copy", "_from", count)
 
 
 def _per_statement(sessions: DataFrame, weight: Column | None = None) -> DataFrame:

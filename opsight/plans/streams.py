@@ -18,10 +18,15 @@ from opsight.streaming.concurrency import current_concurrency, stream_concurrenc
 SPLIT = datetime.fromisoformat(t.SPLIT)
 
 
-def _sessions(tb):
-    """The session snapshot as a stream."""
-    schema = tb.spark.read.parquet(f"{tb.sf_dir}/events.parquet").schema
-    events = stream_files(tb.spark, tb.sf_dir, schema, glob="events.parquet")
+def _sessions(tb, files: int = 1):
+    """The session snapshot as a stream; with several files each one is a batch."""
+    events = tb.spark.read.parquet(f"{tb.sf_dir}/events.parquet")
+    if files == 1:
+        events = stream_files(tb.spark, tb.sf_dir, events.schema, glob="events.parquet")
+    else:
+        path = scratch_path(tb.spark, "arriving")
+        events.repartition(files).write.parquet(path)
+        events = stream_files(tb.spark, path, events.schema, files_per_trigger=1)
     return t.logical(tb.spark, tb.sf_dir, t.session_snap, {"events": events})
 
 
@@ -32,8 +37,8 @@ def _sessions(tb):
 def capture(tb):
     path = scratch_path(tb.spark, "stream-capture")
     order = [F.col("fixed_table_sequence").desc()]
-    stream_capture(_sessions(tb), path, SESSION_KEYS, order, f"{path}/checkpoint").awaitTermination()
-    return merged_capture(tb.spark, path, SESSION_KEYS)
+    stream_capture(_sessions(tb, files=4), path, SESSION_KEYS, order, f"{path}/checkpoint").awaitTermination()
+    return merged_capture(tb.spark, path, SESSION_KEYS, order)
 
 
 @query("q61_stream_concurrency", [t.session_snap], """

@@ -76,12 +76,6 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
     return spark.read.parquet(folder) if _finished(spark, folder) else None
 
 
-def latest_batch(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest complete batch of a log."""
-    done = _finished(spark, f"{path}/{BATCH}=*")
-    return max((int(s.getPath().getParent().getName().split("=")[1]) for s in done), default=None)
-
-
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a log, with their number in ``batch_id``."""
     return spark.read.option("basePath", path).parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))

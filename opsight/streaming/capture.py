@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsight.operators.upsert import newest_of_log
-from opsight.sources.writers import (
-    BATCH, latest_batch, latest_version, read_batches, read_version, write_batch, write_version,
-)
-from opsight.streaming.common import start
+from opsight.sources.writers import BATCH, read_batches, write_batch
+from opsight.streaming.common import held, start
 
 
 def stream_capture(stream: DataFrame, path: str, keys: list[str], order: list[Column], checkpoint: str,
@@ -21,32 +19,21 @@ def stream_capture(stream: DataFrame, path: str, keys: list[str], order: list[Co
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(newest_of_log(batch, keys, order), f"{path}/log", batch_id)
+        with held(batch):
+            write_batch(newest_of_log(batch, keys, order), f"{path}/log", batch_id)
 
     return start(stream.writeStream.foreachBatch(store), checkpoint, every)
 
 
-def merged_capture(spark: SparkSession, path: str, keys: list[str], upto: int | None = None) -> DataFrame:
-    """The captured table, taking batches up to ``upto``: per key the row of the latest batch,
-    rows with a NULL key all kept."""
-    # a compacted version n holds the batches before n
-    compacted = latest_version(spark, f"{path}/base")
-    rows = read_batches(spark, f"{path}/log").where(F.col(BATCH) >= compacted)
-    if upto is not None:
-        rows = rows.where(F.col(BATCH) <= upto)
-    if compacted:
-        base = read_version(spark, f"{path}/base", compacted)
-        rows = rows.unionByName(base.withColumn(BATCH, F.lit(compacted - 1).cast("bigint")))
-    return newest_of_log(rows, keys, [F.col(BATCH).desc()]).drop(BATCH)
-
+def merged_capture(spark: SparkSession, path: str, keys: list[str], order: list[Column],
+                   upto: int | None = None) -> DataFrame:
+    """The captured table, taking batches up to ``upto``: per key the first row in ``order``, rows with a
+    NULL key all kept.
 
-def compact_capture(spark: SparkSession, path: str, keys: list[str]) -> int | None:
-    """Write the table as it stands as a version of its own, so that readers need only later batches.
-
-    The stream may go on meanwhile, and readers see the version once it is complete. Batches below
-    the returned number are not read any more.
+    Rows equal in ``order`` go by the latest batch, so where no two are equal the table is the same
+    however the files were cut into batches.
     """
-    last = latest_batch(spark, f"{path}/log")
-    if last is None or last + 1 <= latest_version(spark, f"{path}/base"):
-        return None
-    return write_version(merged_capture(spark, path, keys, last), f"{path}/base", last + 1)
+    rows = read_batches(spark, f"{path}/log")
+    if upto is not None:
+        rows = rows.where(F.col(BATCH) <= upto)
+    return newest_of_log(rows, keys, [*order, F.col(BATCH).desc()]).drop(BATCH)

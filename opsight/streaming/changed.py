@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsight.sources.writers import BATCH, read_batch, read_batches, write_batch
-from opsight.streaming.common import start
+from opsight.streaming.common import held, start
 
 
 def stream_changed_rows(stream: DataFrame, path: str, checkpoint: str, epoch: str = "instance_startup_date",
@@ -34,8 +34,9 @@ def stream_changed_rows(stream: DataFrame, path: str, checkpoint: str, epoch: st
                 .select(*batch.columns)
             )
             raised = marks.unionByName(raised).groupBy(epoch).agg(F.max("mark").alias("mark"))
-        write_batch(fresh, f"{path}/rows", batch_id)
-        write_batch(raised, f"{path}/marks", batch_id)
+        with held(batch):
+            write_batch(fresh, f"{path}/rows", batch_id)
+            write_batch(raised, f"{path}/marks", batch_id)
 
     return start(stream.writeStream.foreachBatch(store), checkpoint, every)
 

@@ -36,6 +36,13 @@ def _expanded(df):
     return rows_of(st.expand(df), "sql_id", "n")
 
 
+def test_expand_deals_out_many_copies(make):
+    df = make("sql_id string, n long, matches long", [("a", 1, 7), ("b", 2, 0), ("c", 3, None), ("d", 4, 1), ("e", 5, 3)])
+    assert rows_of(st.expand(df, portion=3), "sql_id") == [("a",)] * 7 + [("d",)] + [("e",)] * 3
+    large = st.expand(make("sql_id string, matches long", [("a", 3_000_000_000)]))
+    assert large.limit(200_000).count() == 200_000
+
+
 TRACKED = "(SELECT DISTINCT sid, sql_id, logon_time FROM snap)"
 
 

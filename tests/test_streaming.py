@@ -8,7 +8,7 @@ from opsight.operators import capture as cap, upsert as up
 from opsight.session import scratch_path
 from opsight.sources.readers import stream_files
 from opsight.sources.writers import read_batches, write_batch
-from opsight.streaming.capture import compact_capture, merged_capture, stream_capture
+from opsight.streaming.capture import merged_capture, stream_capture
 from opsight.streaming.changed import changed_rows, seed_marks, stream_changed_rows
 from opsight.streaming.concurrency import current_concurrency, stream_concurrency
 from tests.conftest import rows_of
@@ -55,7 +55,7 @@ def test_stream_capture_equals_merging_batch_by_batch(spark, arriving):
     table = frames[0].where("1 = 0")
     for f in frames:
         table = up.upsert_sessions(table, f, "latest", order)
-    got = merged_capture(spark, path, cap.SESSION_KEYS)
+    got = merged_capture(spark, path, cap.SESSION_KEYS, order)
     assert read_batches(spark, f"{path}/log").select("batch_id").distinct().count() == len(frames)
     assert rows_of(got.fillna({"sql_id": "-"})) == rows_of(table.fillna({"sql_id": "-"}))
 
@@ -63,33 +63,27 @@ def test_stream_capture_equals_merging_batch_by_batch(spark, arriving):
 def test_writing_a_batch_again_changes_nothing(spark, make):
     path = scratch_path(spark, "replay")
     df = make(SCHEMA, _some(2, 1)[0])
+    order = [F.col("fixed_table_sequence").desc()]
     for _ in range(2):
-        write_batch(up.newest_of_log(df, cap.SESSION_KEYS, [F.col("fixed_table_sequence").desc()]), f"{path}/log", 0)
-    once = rows_of(merged_capture(spark, path, cap.SESSION_KEYS).fillna({"sql_id": "-"}))
+        write_batch(up.newest_of_log(df, cap.SESSION_KEYS, order), f"{path}/log", 0)
+    once = rows_of(merged_capture(spark, path, cap.SESSION_KEYS, order).fillna({"sql_id": "-"}))
     assert len(once) == len(set(once))
 
 
-def test_compaction_does_not_show(spark, make):
-    path, parts = scratch_path(spark, "compact"), _some(6, 5)
-    order = [F.col("fixed_table_sequence").desc()]
+def test_a_late_row_does_not_replace_a_newer_one(spark, arriving):
+    at = "2024-03-01T00:00:00"
 
-    def shown():
-        return rows_of(merged_capture(spark, path, cap.SESSION_KEYS).fillna({"sql_id": "-"}))
-
-    assert compact_capture(spark, path, cap.SESSION_KEYS) is None
-    for i, part in enumerate(parts[:3]):
-        write_batch(up.newest_of_log(make(SCHEMA, part), cap.SESSION_KEYS, order), f"{path}/log", i)
-    before = shown()
-    assert compact_capture(spark, path, cap.SESSION_KEYS) == 3
-    assert compact_capture(spark, path, cap.SESSION_KEYS) is None
-    assert shown() == before
-    for i, part in enumerate(parts[3:], 3):
-        write_batch(up.newest_of_log(make(SCHEMA, part), cap.SESSION_KEYS, order), f"{path}/log", i)
-    before = shown()
-    assert compact_capture(spark, path, cap.SESSION_KEYS) == 5 and shown() == before
-    # a version that was not finished is not read
-    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/base/version=9")
-    assert shown() == before
+    def row(seq, sql_id="a"):
+        return (1, sql_id, at, at, at, seq)
+
+    stream, _ = arriving([[row(9), row(2, None)], [row(3), row(5, "b")], [row(7), row(1, None), row(6, "b")]])
+    path, order = scratch_path(spark, "late"), [F.col("fixed_table_sequence").desc()]
+    stream_capture(stream, path, cap.SESSION_KEYS, order, f"{path}/c").awaitTermination()
+    got = merged_capture(spark, path, cap.SESSION_KEYS, order)
+    assert sorted((r["sql_id"] or "", r["fixed_table_sequence"]) for r in got.collect()) == [
+        ("", 1), ("", 2), ("a", 9), ("b", 6)]
+    first = merged_capture(spark, path, cap.SESSION_KEYS, order, upto=0)
+    assert sorted(r["fixed_table_sequence"] for r in first.collect()) == [2, 9]
 
 
 def test_stream_concurrency_equals_the_batch_count(spark, arriving):

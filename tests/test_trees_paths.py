@@ -177,6 +177,27 @@ def test_critical_chains_need_not_build_every_chain(steps, seed):
     assert rows_of(paths.critical_chains(df)) == rows_of(paths.critical_path(paths.sequence_paths(df)))
 
 
+def test_critical_chains_with_a_loop(steps):
+    rows = [(1, None, 1.0), (2, 1, 100.0), (3, 2, 10.0), (2, 3, 100.0), (4, 3, 1.0), (5, 2, 1.0), (5, 4, 1.0), (6, 5, 1.0)]
+    assert rows_of(paths.critical_chains(steps(rows))) == rows_of(paths.critical_path(paths.sequence_paths(steps(rows))))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_critical_chains_equal_every_chain_with_loops(steps, seed):
+    rng = random.Random(seed)
+    rows = [(0, None, 1.0)]
+    for n in range(1, 14):
+        for p in sorted(rng.sample(range(max(0, n - 4), n), k=min(n, rng.choice([1, 2])))):
+            rows.append((n, p, float(rng.randrange(1, 50))))
+    for _ in range(3):
+        b = rng.randrange(1, 12)
+        back = (b, rng.randrange(b, 14))
+        if back not in {r[:2] for r in rows}:
+            rows.append((*back, float(rng.randrange(1, 50))))
+    df = steps(rows)
+    assert rows_of(paths.critical_chains(df)) == rows_of(paths.critical_path(paths.sequence_paths(df)))
+
+
 def test_junctions_show_only_with_a_single_predecessor(steps):
     rows = [(1, None, 1.0), (2, 1, 1.0), (3, 1, 1.0), (3, 2, 1.0), (4, 2, 1.0)]
     got = paths.sequence_paths(steps(rows, {2: "AND_7"}))
