@@ -22,6 +22,9 @@ from opsight.session import scratch_path
 #: Bytes of text in a batch; a longer document is a batch of its own. Words are cut from smaller blocks.
 BATCH_BYTES, BLOCK_BYTES = 32 << 20, 4 << 20
 
+#: Places that a task sends back at a time.
+DEAL_PLACES = 1 << 20
+
 #: A word's place is its batch and, in so many bits, its code there.
 CODE_BITS = 26
 _SCHEMA = ("batch long, word binary, place long, marked long, ids array<bigint>, n_bytes array<bigint>, "
@@ -108,11 +111,76 @@ _TYPES = {
 
 
 def _packed(parts: list[np.ndarray]) -> bytes:
-    return zstandard.compress(b"".join(p.tobytes() for p in parts), 3)
+    """Numbers by byte: all lowest bytes first, as the others are mostly zero."""
+    flat = np.concatenate([np.zeros(0, np.uint32), *parts])
+    return zstandard.compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), np.uint32)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
+def _dealt(values: DataFrame) -> DataFrame:
+    """``values`` (places, value) by batch: of what a task has at a time, each batch's codes in order, as the
+    steps between them, and their values. Low and high bytes are apart, as the high ones are mostly zero."""
+
+    def deal(batches):
+        waiting, n = [], 0
+        for rows in batches:
+            places = rows.column("places")
+            at = places.flatten().to_numpy()
+            waiting.append((at, np.repeat(rows.column("value").to_numpy(), pc.list_value_length(places).to_numpy())))
+            n += len(at)
+            if n >= DEAL_PLACES:
+                yield from _by_batch(waiting)
+                waiting, n = [], 0
+        yield from _by_batch(waiting)
+
+    return values.select("places", "value").mapInArrow(
+        deal, "batch long, step_low binary, step_high binary, value_low binary, value_high binary")
+
+
+def _by_batch(waiting: list[tuple[np.ndarray, np.ndarray]]):
+    places, values = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (zip(*waiting) if waiting else ((), ())))
+    for begin in range(0, len(places), DEAL_PLACES):
+        place, value = places[begin:begin + DEAL_PLACES], values[begin:begin + DEAL_PLACES]
+        order = np.argsort(place)
+        place, value = place[order], value[order]
+        batch, step = place >> CODE_BITS, place & ((1 << CODE_BITS) - 1)
+        same = batch[1:] == batch[:-1]
+        step[1:] -= np.where(same, step[:-1], 0)
+        first = np.concatenate([[0], np.flatnonzero(~same) + 1])
+        bounds = np.append(first, len(place))
+
+        def plane(part: np.ndarray) -> pa.Array:
+            offsets = (bounds * part.shape[1]).astype(np.int32)
+            return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(part.tobytes())])
+
+        steps = step.astype("<u4").view(np.uint8).reshape(-1, 4)
+        amounts = value.astype("<i8").view(np.uint8).reshape(-1, 8)
+        yield pa.RecordBatch.from_pydict({
+            "batch": pa.array(batch[first]), "step_low": plane(steps[:, :1]), "step_high": plane(steps[:, 1:]),
+            "value_low": plane(amounts[:, :1]), "value_high": plane(amounts[:, 1:]),
+        })
+
+
+def _undealt(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and values of the rows that ``_dealt`` made for one batch."""
+
+    def numbers(name: str, kind: str) -> np.ndarray:
+        width = np.dtype(kind).itemsize
+        low, high = (b"".join(found.column(f"{name}_{part}").to_pylist()) for part in ("low", "high"))
+        out = np.empty((len(low), width), np.uint8)
+        out[:, 0] = np.frombuffer(low, np.uint8)
+        out[:, 1:] = np.frombuffer(high, np.uint8).reshape(-1, width - 1)
+        return out.view(kind).ravel().astype(np.int64)
+
+    step, value = numbers("step", "<u4"), numbers("value", "<i8")
+    length = np.array([len(b) for b in found.column("step_low").to_pylist()], np.int64)
+    code = np.cumsum(step)
+    first = np.cumsum(length) - length
+    return code - np.repeat(code[first] - step[first], length), value
 
 
 def _row(batch: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -128,14 +196,10 @@ def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, Call
     ``values`` has (places, value), a row for every word; ``sums`` gives for each result what a word adds to
     it, from the words' values, and ``kinds`` its type, ``long`` or ``double``.
     """
-    place = F.col("place")
-    values = values.select(F.explode("places").alias("place"), "value").select(
-        F.shiftright(place, CODE_BITS).alias("batch"), place.bitwiseAND(F.lit((1 << CODE_BITS) - 1)).alias("code"), "value")
-
     def add(batch: pa.Table, found: pa.Table) -> pa.Table:
-        code = found.column("code").to_numpy()
+        code, amount = _undealt(found)
         value = np.zeros(int(code.max()) + 1 if len(code) else 0, np.int64)
-        value[code] = found.column("value").to_numpy()
+        value[code] = amount
         out = {n: [] for n in ("id", "flag", "tag", "n_bytes")}
         totals = {n: [np.zeros(0, np.int64)] for n in ("n_words", *sums)}
         for b in batch.to_pylist():
@@ -157,4 +221,4 @@ def sum_per_document(batches: DataFrame, values: DataFrame, sums: dict[str, Call
 
     schema = "id bigint, flag boolean, tag bigint, n_bytes bigint, n_words bigint" + "".join(
         f", {n} {kinds[n]}" for n in sums)
-    return batches.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(add, schema)
+    return batches.groupBy("batch").cogroup(_dealt(values).groupBy("batch")).applyInArrow(add, schema)
