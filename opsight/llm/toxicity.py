@@ -47,8 +47,11 @@ def fit(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
     if not examples or labels.min() == labels.max():
         rate = (labels.sum() + 0.5) / (len(labels) + 1.0) if len(labels) else 0.5
         return np.zeros(0, np.int64), np.zeros(0), float(np.log(rate / (1 - rate)))
-    known, seen = np.unique(np.concatenate(examples), return_counts=True)
-    known = known[seen >= MIN_EXAMPLES]
+    often = []
+    for part in range(8):  # an eighth of the features at a time, to hold less
+        some, seen = np.unique(np.concatenate([e[e >> (BITS - 3) == part] for e in examples]), return_counts=True)
+        often.append(some[seen >= MIN_EXAMPLES].astype(np.int64))
+    known = np.concatenate(often)
     rows = []
     for e in examples:
         at = np.searchsorted(known, e)
@@ -103,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def learn(whole: pa.Table) -> pa.Table:
         whole = whole.sort_by([("turn", "ascending"), ("id", "ascending")])
-        rows = [np.frombuffer(f.as_buffer(), "<u4").astype(np.int64) for f in whole.column("features")]
+        rows = [np.frombuffer(f.as_buffer(), "<u4") for f in whole.column("features")]
         feature, weight, bias = fit(rows, whole.column("label").to_numpy().astype(float))
         return pa.table({"feature": pa.array(np.append(feature, -1)), "weight": pa.array(np.append(weight, bias))})
 
