@@ -83,8 +83,8 @@ def spans_text(spans: Column) -> Column:
 
 
 def _shape(word: Column) -> Column:
-    """Digits as 0 each, runs of letters as one a."""
-    return F.regexp_replace(F.regexp_replace(word, "[0-9]", "0"), r"\p{L}+", "a")
+    """Runs of digits as one 0, runs of letters as one a; what separates them stays."""
+    return F.regexp_replace(F.regexp_replace(word, "[0-9]+", "0"), r"\p{L}+", "a")
 
 
 def candidates(text: Column) -> Column:
@@ -119,34 +119,31 @@ def bootstrap(words: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
     """The instances that contexts show to be identifiers: instance, kind.
 
     ``words`` has a row per occurrence: instance (value), shape, left, right and kind (of the base span that
-    it is part of, or null). A pattern is a shape with the word on its left, or on its right. Patterns and
+it is part of, or null). A pattern is a shape with the word on its left, or on its right. Patterns and
     distinct instances make a graph: a pattern's confidence in a kind is the mean score of its instances,
     where known ones score 1 or 0; an unknown one's score is that of its best pattern, and patterns
-    below the support and the confidence pass nothing on. Copies of a text add nothing, as edges are distinct.
+    below the support and the confidence pass nothing on. Instances found in one round count as known, at their score, in
+    all their patterns in the next, so they give rise to new patterns. Copies of a text add nothing, as edges are distinct.
     """
     sides = F.explode(F.array(F.struct(F.lit("L").alias("side"), F.col("left").alias("word")),
                               F.struct(F.lit("R").alias("side"), F.col("right").alias("word"))))
     edges = words.select("instance", "shape", "kind", sides.alias("s")).where("s.word != ''").groupBy(
         F.xxhash64("shape", "s.side", "s.word").alias("pattern"), "instance").agg(F.max("kind").alias("kind"))
     edges = cut_lineage(edges)
-    seeds = edges.where("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(
-        F.col("seeds") >= support)
-    # only patterns with seeds enough can ever pass something on
-    live = cut_lineage(edges.join(seeds.select("pattern").distinct(), "pattern"))
-    known = live.groupBy("pattern").agg(F.count("*").alias("n"))
-    base = seeds.join(known, "pattern")
+    # only patterns with instances enough can ever pass something on
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+    live = cut_lineage(edges.join(sizes, "pattern"))
+    base = live.where("kind IS NOT NULL").select("pattern", "kind", "n", F.lit(1.0).alias("score"))
+    unknown = live.where("kind IS NULL").drop("kind")
     score = None
     for _ in range(rounds):
-        if score is None:
-            rated = base.withColumn("added", F.lit(0.0))
-        else:
-            added = live.where("kind IS NULL").drop("kind").join(score, "instance").groupBy("pattern", "kind").agg(
-                F.sum("score").alias("added"))
-            rated = base.join(added, ["pattern", "kind"], "left").withColumn("added", F.coalesce("added", F.lit(0.0)))
-        good = rated.select("pattern", "kind", ((F.col("seeds") + F.col("added")) / F.col("n")).alias("trust")).where(
-            F.col("trust") >= confidence)
-        score = live.where("kind IS NULL").drop("kind").join(good, "pattern").groupBy("instance", "kind").agg(
-            F.max("trust").alias("score"))
+        known = base
+        if score is not None:
+            known = base.unionByName(unknown.join(score, "instance").select("pattern", "kind", "n", "score"))
+        good = known.groupBy("pattern", "kind").agg(
+            F.count("*").alias("seeds"), (F.sum("score") / F.max("n")).alias("trust")).where(
+            (F.col("seeds") >= support) & (F.col("trust") >= confidence)).select("pattern", "kind", "trust")
+        score = unknown.join(good, "pattern").groupBy("instance", "kind").agg(F.max("trust").alias("score"))
         score = cut_lineage(score)
     best = score.groupBy("instance").agg(F.max(F.struct("score", F.col("kind"))).alias("b"))
     return best.select("instance", F.col("b.kind").alias("kind"))
