@@ -46,8 +46,8 @@ def command_mix(executions: DataFrame, actions: DataFrame, target: int = SELECT_
     chosen = F.sum(F.when(F.col("command") == target, F.col("cnt")))
     others = F.sum(F.when(F.col("command") != target, F.col("cnt")))
     return known.groupBy("total").agg(chosen.alias("cnt_sel"), others.alias("cnt_non_sel")).select(
-        "cnt_sel", F.round(ratio(F.col("cnt_sel"), F.col("total")), 6).alias("share_sel"),
-        "cnt_non_sel", F.round(ratio(F.col("cnt_non_sel"), F.col("total")), 6).alias("share_non_sel"),
+        "cnt_sel", ratio(F.col("cnt_sel"), F.col("total")).alias("share_sel"),
+        "cnt_non_sel", ratio(F.col("cnt_non_sel"), F.col("total")).alias("share_non_sel"),
         "total",
     )
 

@@ -49,3 +49,8 @@ def query(name: str, tables: list[Callable] | None = None, sql: str | None = Non
         return fn
 
     return add
+
+
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Shares as the checking SQL shows them, with six digits."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
