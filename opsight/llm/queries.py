@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opsight.llm.filter_audit import AUDIT_SQL
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -92,3 +94,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from opsight.llm.tokens import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.filter_audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+CHECKS["op12_filter_interactions"] = AUDIT_SQL
