@@ -104,3 +104,10 @@ def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECKS["op12_filter_interactions"] = AUDIT_SQL
+
+
+@query
+def op13_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.syncmers import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
