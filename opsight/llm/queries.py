@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opsight.llm.filter_audit import AUDIT_SQL
+from opsight.llm.ranked_search import RANK_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -103,7 +104,11 @@ def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-CHECKS["op12_filter_interactions"] = AUDIT_SQL
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opsight.llm.ranked_search import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @query
@@ -111,3 +116,6 @@ def op13_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from opsight.llm.syncmers import edited_fingerprints
 
     return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+CHECKS |= {"op11_ranked_search": RANK_SQL, "op12_filter_interactions": AUDIT_SQL}
