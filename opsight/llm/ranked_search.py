@@ -9,7 +9,6 @@ exceed the sum of the cells' maxima times the terms' weights, and the range with
 from __future__ import annotations
 
 import bisect
-import heapq
 import math
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -29,8 +28,8 @@ BLOCK_BYTES, CUT_BYTES = 16 << 20, 4 << 20
 PACK_BYTES = 1 << 20
 #: How many documents are returned for an item.
 BEST = 10
-#: Ranges that a block's items split together, at least one of each.
-AT_ONCE = 256
+#: Ranges of an item that are split together, and items that share a store of nodes.
+AT_ONCE, ITEMS = 64, 64
 #: Terms are runs of characters other than these, with A-Z in lower case.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -120,8 +119,8 @@ def impacts(count: np.ndarray, length: np.ndarray, documents: int, terms: int) -
 def _indexed(block: pa.RecordBatch, documents: int, terms: int) -> dict | None:
     """The index of a block of documents, in which equal texts share a column, or None if it has no terms.
 
-    Columns are in the order of their smallest ids. Rows go from the most frequent term to the rarest, and by first
-    column among equals, so that rare terms of a text stand side by side.
+    Rows go from the most frequent term to the rarest, and by first column among equals, so that rare terms of a
+    text stand side by side.
     """
     ids = block.column("id")
     coded = block.column("text").dictionary_encode()
@@ -136,17 +135,24 @@ def _indexed(block: pa.RecordBatch, documents: int, terms: int) -> dict | None:
     pair, count = np.unique(owner * known + word.indices.to_numpy(), return_counts=True)
     owner, term = np.divmod(pair, known)
 
+    # texts alike stand side by side: by their commonest term, then by length
+    rank = np.empty(known, np.int64)
+    rank[np.argsort(-np.bincount(term, minlength=known), kind="stable")] = np.arange(known)
+    commonest = np.full(texts, known)
+    heavy = np.lexsort((rank[term], -count, owner))
+    begin = heavy[np.concatenate([[True], owner[heavy][1:] != owner[heavy][:-1]])]
+    commonest[owner[begin]] = rank[term[begin]]
+    order = np.lexsort((length, commonest))
+    order = order[length[order] > 0]
+    places = np.full(texts, -1)
+    places[order] = np.arange(len(order))
     key = pc.fill_null(ids, _LAST).to_numpy()
-    rows = np.lexsort((key, ~ids.is_valid().to_numpy(zero_copy_only=False)))
+    rows = np.lexsort((key, ~ids.is_valid().to_numpy(zero_copy_only=False), places[text]))
     rows = rows[length[text[rows]] > 0]
-    _, one = np.unique(text[rows], return_index=True)
-    places = np.full(texts, -1)
-    places[text[rows][np.sort(one)]] = np.arange(len(one))
-    rows = rows[np.argsort(places[text[rows]], kind="stable")]
     column = places[owner]
-    copies = np.bincount(places[text[rows]], minlength=len(one))
+    copies = np.bincount(places[text[rows]], minlength=len(order))
 
-    lowest = np.full(known, len(one))
+    lowest = np.full(known, len(order))
     np.minimum.at(lowest, term, column)
     shown = np.lexsort((lowest, -np.bincount(term, minlength=known)))
     row = np.empty(known, np.int64)
@@ -155,7 +161,7 @@ def _indexed(block: pa.RecordBatch, documents: int, terms: int) -> dict | None:
     some = value > 0
     if not some.any():
         return None
-    height = max(1, int(known - 1).bit_length(), int(len(one) - 1).bit_length())
+    height = max(1, int(known - 1).bit_length(), int(len(order) - 1).bit_length())
     top, quadrants, steps = treap(row[term[some]], column[some], value[some], height)
     names = word.dictionary.take(pa.array(shown))
     return {
@@ -213,79 +219,123 @@ class _Tree:
             begin, end = end, until
         ids = np.array([_LAST if i is None else i for i in block["ids"]], np.int64)
         self.ids, self.copies = block["ids"], _unpack(block["first"])
-        self.least = ids[self.copies[:-1]]
+        # the smallest id of a range, by depth
+        least = [ids[self.copies[:-1]]]
+        for _ in range(self.height):
+            last = np.append(least[-1], _LAST) if len(least[-1]) % 2 else least[-1]
+            least.append(np.minimum(last[::2], last[1::2]))
+        self.smallest = np.concatenate(least[::-1])
+        self.begin = np.cumsum([0, *(len(x) for x in least[:0:-1])])
 
 
 class _Found:
-    """The best documents of an item so far, as (-score, order, id)."""
+    """The best documents of each of some items so far, as (-score, order, id), and what another one has to beat."""
 
-    def __init__(self):
-        self.rows: list[tuple[int, int, int | None]] = []
+    def __init__(self, items: int):
+        self.rows: list[list[tuple[int, int, int | None]]] = [[] for _ in range(items)]
+        self.score = np.full(items, 0)
+        self.order = np.full(items, 0)
 
-    def open(self, score: int, order: int) -> bool:
-        """Whether a document of at most this score and at least this place in the order would be among them."""
-        return len(self.rows) < BEST or (-score, order) < self.rows[-1][:2]
+    def open(self, item: np.ndarray, score: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Whether documents of at most this score and at least this place in the order would be among the best."""
+        least = self.score[item]
+        return (score > least) | (score == least) & (order < self.order[item])
 
-    def add(self, score: int, ids: list[int | None]) -> None:
+    def add(self, item: int, score: int, ids: list[int | None]) -> None:
+        rows = self.rows[item]
         for i in ids[:BEST]:
-            order = _LAST if i is None else i
-            if not self.open(score, order):
-                break
-            bisect.insort(self.rows, (-score, order, i), key=lambda r: r[:2])
-            del self.rows[BEST:]
+            bisect.insort(rows, (-score, _LAST if i is None else i, i), key=lambda r: r[:2])
+        del rows[BEST:]
+        if len(rows) == BEST:
+            self.score[item], self.order[item] = -rows[-1][0], rows[-1][1]
+
+
+class _Waiting(NamedTuple):
+    """Ranges of documents to be split: the item, the depth and place in the tree, what the score can be at most and the
+    id at least, and where in a store the nodes of the item's terms are that occur in the range."""
+
+    item: np.ndarray
+    depth: np.ndarray
+    place: np.ndarray
+    bound: np.ndarray
+    least: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+
+    def take(self, at: np.ndarray) -> _Waiting:
+        return _Waiting(*(c[at] for c in self))
+
+
+class _Store:
+    """Nodes and their terms, one run after another."""
+
+    def __init__(self, node: np.ndarray, term: np.ndarray):
+        self.rows, self.used = np.stack([node, term]).astype(np.int32), len(node)
+
+    def add(self, node: np.ndarray, term: np.ndarray) -> int:
+        """Where the new ones begin."""
+        begin, self.used = self.used, self.used + len(node)
+        if self.used > self.rows.shape[1]:
+            wider = np.empty((2, 2 * self.used), np.int32)
+            wider[:, :begin] = self.rows[:, :begin]
+            self.rows = wider
+        self.rows[0, begin:self.used], self.rows[1, begin:self.used] = node, term
+        return begin
 
 
-def _descend(tree: _Tree, queries: list[tuple[np.ndarray, np.ndarray]], found: list[_Found]) -> None:
-    """Add a block's best documents to what is found; a query is the rows of its terms and their weights.
+def _descend(tree: _Tree, queries: list[tuple[np.ndarray, np.ndarray]], found: _Found, first: int = 0) -> int:
+    """Add a block's best documents to what is found of the items from ``first`` on; returns how many ranges were split.
 
-    A range waits as (-bound, least id, number, depth, place, nodes, terms), its nodes one for each term that has any.
+    A query is the rows of its terms and their weights. Of every item the ``AT_ONCE`` ranges of the highest bounds are
+    split together, until none can hold a document that is better than the ones found.
     """
-    sizes = [len(r) for r, _ in queries]
-    start = np.concatenate([[0], np.cumsum(sizes)])
+    size = np.array([len(r) for r, _ in queries], np.int64)
+    start = np.cumsum(size) - size
     row = np.concatenate([np.zeros(0, np.int64), *(r for r, _ in queries)])
     weight = np.concatenate([np.zeros(0, np.int64), *(w for _, w in queries)])
-    waiting, number = {}, 0
-    for k in range(len(queries)):
-        terms = np.arange(start[k], start[k + 1])
-        bound = int(weight[terms].sum()) * int(tree.value[0])
-        if bound and found[k].open(bound, int(tree.least[0])):
-            waiting[k] = [(-bound, int(tree.least[0]), number, 0, 0, np.zeros(len(terms), np.int64), terms)]
-    while waiting:
-        taken, each = [], max(1, AT_ONCE // len(waiting))
-        for k in list(waiting):
-            heap = waiting[k]
-            for _ in range(each):
-                if not heap or not found[k].open(-heap[0][0], heap[0][1]):
-                    del waiting[k]
-                    break
-                taken.append((k, *heapq.heappop(heap)))
-        if not taken:
-            continue
-        owner = np.repeat(np.arange(len(taken)), [len(t[6]) for t in taken])
-        node, term = np.concatenate([t[6] for t in taken]), np.concatenate([t[7] for t in taken])
-        depth = np.array([t[4] for t in taken])
-        bit = row[term] >> (tree.height - 1 - depth[owner]) & 1
+    total = np.concatenate([[0], np.cumsum(weight)])
+    zero = np.zeros(len(queries), np.int64)
+    store = _Store(np.zeros(len(row), np.int64), np.arange(len(row)))
+    waiting = _Waiting(np.arange(first, first + len(queries)), zero, zero, (total[start + size] - total[start]) * tree.value[0],
+                       zero + tree.smallest[0], start, size)
+    split = 0
+    while True:
+        waiting = waiting.take(np.flatnonzero(found.open(waiting.item, waiting.bound, waiting.least)))
+        if not len(waiting.item):
+            return split
+        order = np.lexsort((waiting.least, -waiting.bound, waiting.item))
+        item = waiting.item[order]
+        best = np.arange(len(item)) - np.searchsorted(item, item) < AT_ONCE
+        taken, waiting = waiting.take(order[best]), waiting.take(order[~best])
+        split += len(taken.item)
+        owner = np.repeat(np.arange(len(taken.item)), taken.length)
+        at = taken.start[owner] + arrays.segments(taken.length)
+        node, term = store.rows[0, at].astype(np.int64), store.rows[1, at].astype(np.int64)
+        bit = row[term] >> (tree.height - 1 - taken.depth[owner]) & 1
         quadrants, below = tree.quadrants[node], tree.first[node]
+        more = [waiting]
         for side in (0, 1):
             at = 2 * bit + side
             has = np.flatnonzero(quadrants >> at & 1)
             child = below[has] + _BITS[quadrants[has] & (1 << at[has]) - 1]
             own, some = owner[has], term[has]
-            ends = np.searchsorted(own, np.arange(len(taken) + 1))
+            ends = np.searchsorted(own, np.arange(len(taken.item) + 1))
             total = np.concatenate([[0], np.cumsum(weight[some] * tree.value[child])])
-            bounds = (total[ends[1:]] - total[ends[:-1]]).tolist()
-            for i, bound in enumerate(bounds):
-                if not bound:
-                    continue
-                k, d, place = taken[i][0], taken[i][4] + 1, 2 * taken[i][5] + side
-                if d == tree.height:
-                    found[k].add(bound, tree.ids[tree.copies[place]:tree.copies[place + 1]])
-                    continue
-                least = int(tree.least[place << tree.height - d])
-                if found[k].open(bound, least):
-                    number += 1
-                    part = slice(ends[i], ends[i + 1])
-                    heapq.heappush(waiting.setdefault(k, []), (-bound, least, number, d, place, child[part], some[part]))
+            bound = total[ends[1:]] - total[ends[:-1]]
+            into = np.flatnonzero(bound > 0)
+            item, depth, place = taken.item[into], taken.depth[into] + 1, 2 * taken.place[into] + side
+            least = tree.smallest[tree.begin[depth] + place]
+            made = _Waiting(item, depth, place, bound[into], least, store.used + ends[into], ends[into + 1] - ends[into])
+            made = made.take(np.flatnonzero(found.open(item, made.bound, least)))
+            store.add(child, some)
+            leaf = made.depth == tree.height
+            more.append(made.take(np.flatnonzero(~leaf)))
+            made = made.take(np.flatnonzero(leaf))
+            for k in np.lexsort((made.least, -made.bound)).tolist():
+                if found.open(made.item[k], made.bound[k], made.least[k]):
+                    p = int(made.place[k])
+                    found.add(int(made.item[k]), int(made.bound[k]), tree.ids[tree.copies[p]:tree.copies[p + 1]])
+        waiting = _Waiting(*(np.concatenate(c) for c in zip(*more)))
 
 
 def _blocks(spark: SparkSession, index: Index, *columns: str) -> DataFrame:
@@ -350,7 +400,7 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
 
         def look(batches):
             wanted, weight, asked = sent.value
-            terms, found = pa.array(wanted, pa.binary()), [_Found() for _ in asked]
+            terms, found = pa.array(wanted, pa.binary()), _Found(len(asked))
             for batch in batches:
                 for i in range(batch.num_rows):
                     block = batch.slice(i, 1).to_pylist()[0]
@@ -361,8 +411,10 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
                     for _, own in asked:
                         own = own[(row[own] >= 0) & (weight[own] > 0)]
                         queries.append((row[own], weight[own]))
-                    _descend(_Tree(block), queries, found)
-            made = [(asked[k][0], r[2], -r[0]) for k, f in enumerate(found) for r in f.rows]
+                    tree = _Tree(block)
+                    for first in range(0, len(queries), ITEMS):
+                        _descend(tree, queries[first:first + ITEMS], found, first)
+            made = [(asked[k][0], r[2], -r[0]) for k, rows in enumerate(found.rows) for r in rows]
             columns = list(zip(*made)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["item", "doc", "score"])
 

@@ -111,8 +111,7 @@ def test_few_ranges_are_entered(monkeypatch):
     index = ranked_search._indexed(block, 2000, 240000)
     asked = sorted(set(made[77].split()[:60]))
     some, row = ranked_search._places(index, pa.array([t.encode() for t in asked], pa.binary()))
-    pushed, push = [], ranked_search.heapq.heappush
-    monkeypatch.setattr(ranked_search.heapq, "heappush", lambda h, e: (pushed.append(e), push(h, e)))
-    found = ranked_search._Found()
-    ranked_search._descend(ranked_search._Tree(index), [(row, np.full(len(row), 5000))], [found])
-    assert found.rows[0][2] == 77 and len(pushed) < 1500
+    monkeypatch.setattr(ranked_search, "AT_ONCE", 1)
+    found = ranked_search._Found(1)
+    split = ranked_search._descend(ranked_search._Tree(index), [(row, np.full(len(row), 5000))], found)
+    assert found.rows[0][0][2] == 77 and split < 1500
