@@ -1,141 +1,125 @@
 """Which names occur in which texts.
 
-``instr(text, name) > 0`` as a join condition compares every text with every name. Two exact ways
-avoid that:
-
-- *scan*: when the names are small, by a size that is measured first, each task gets all of them as
-  one automaton and reads every text once. The texts are not shuffled.
-- *seeded*: otherwise texts and names meet in an equi-join on the hash of a character run they share,
-  and ``instr`` confirms. A text gives only its minimizers: of every ``w`` neighbouring runs of ``k``
-  characters the one with the least hash. A name of at least ``k + w - 1`` characters holds a whole
-  such window wherever it occurs, so each minimizer of the name is one of the text. Of these the name
-  uses the one fewest names have, so a prefix that all names share does not bring all names to one
-  text.
+``instr(text, name) > 0`` as a join condition compares every text with every name. Here texts and names meet in an
+equi-join on the hash of something short that both hold, the seed, and ``instr`` confirms. Texts and names are cut in front of
+every character that is no letter or digit. The pieces of a name but its first and last are pieces of any text that holds
+it, and so are two in a row. A name with fewer pieces uses minimizers: of every ``w`` neighbouring runs of ``k``
+characters the one with the least hash. If it has ``k + w - 1`` characters it holds a whole such window wherever it
+occurs, so each minimizer of the name is one of the text. Of all its seeds a name uses the one fewest names have,
+so a prefix that all names share does not bring all names to one text.
+
+All of it is built-in functions: a run's hash comes from those of its halves, and the least of a window from the least of
+its halves, so an array is passed over as often as the logarithms of ``k`` and ``w`` say.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, functions as F
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-
-try:
-    import ahocorasick
-except ImportError:  # the seeded way needs no such library
-    ahocorasick = None
-
-# an automaton takes up to a hundred times the bytes of its names, in every worker process
-SCAN_LIMIT_BYTES = 2 * 1024 * 1024
-# least name length: (k, w), with k + w - 1 equal to it
+#: Least name length: (k, w), with k a power of two and k + w - 1 equal to the length.
 WINDOWS = {32: (16, 17), 16: (8, 9), 8: (4, 5), 4: (4, 1), 2: (2, 1), 1: (1, 1)}
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: The classes of names that have whole pieces, one or more.
+PIECE, PIECES = 1000, 2000
+_CUT = r"(?=[^\p{L}\p{N}])"
 
 
-def _name_size(names: DataFrame, name: str) -> tuple[int, list[int]]:
-    """Bytes of all names and the window classes in use."""
-    longest = F
-    for least in WINDOWS:
-        longest = longest.when(F.char_length(name) >= least, F.lit(least))
-    row = names.agg(F.sum(F.octet_length(name)).alias("size"), F.collect_set(longest).alias("lengths")).first()
-    return row["size"] or 0, sorted(row["lengths"], reverse=True)
+def _named(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def contains_pairs(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, name: str,
-                   way: str = "auto", scan_limit: int = SCAN_LIMIT_BYTES) -> DataFrame:
-    """The distinct (text keys, name) pairs where the text holds the name as it is written.
-
-    The text keys identify a text. Empty and NULL names occur nowhere.
-    """
-    names = names.select(name).where(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
-    texts = texts.select(*text_keys, text).where(F.col(text).isNotNull())
-    size, lengths = _name_size(names, name)
-    if way == "auto":
-        way = "scan" if ahocorasick is not None and size <= scan_limit else "seeded"
-    if way == "scan":
-        if size > scan_limit:
-            raise ValueError(f"{size} bytes of names are too many to send to every task")
-        return _scan(texts, text_keys, text, names, name)
-    return _seeded(texts, text_keys, text, names, name, lengths)
-
-
-_AUTOMATA: dict[str, object] = {}
-
-
-def _automaton(key: str, words: list[str]):
-    """The automaton of the words, built once per worker process and kept for its next tasks."""
-    if key not in _AUTOMATA:
-        built = ahocorasick.Automaton()
-        for word in words:
-            built.add_word(word, word)
-        built.make_automaton()
-        _AUTOMATA.clear()
-        _AUTOMATA[key] = built
-    return _AUTOMATA[key]
-
-
-def _scan(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, name: str) -> DataFrame:
-    # bounded: the caller measured the names against the limit
-    words = [row[0] for row in names.collect()]
-    if not words:
-        return texts.select(*text_keys, F.col(text).alias(name)).where(F.lit(False))
-    sent, key = texts.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
+def _neighbours(runs: Column, by: int, combine) -> Column:
+    """Each value of an array combined with the one ``by`` places on; the array gets that much shorter."""
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def names_in(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = _automaton(key, sent.value)
-        for batch in batches:
-            yield batch.map(lambda t: list({word for _, word in automaton.iter(t)}))
+    def shifted(a: Column) -> Column:
+        rest = F.greatest(F.size(a) - by, F.lit(0))
+        return F.zip_with(F.slice(a, F.lit(1), rest), F.slice(a, F.lit(by + 1), rest), combine)
 
-    return texts.select(*text_keys, F.explode(names_in(text)).alias(name)).distinct()
+    return _named(runs, shifted)
 
 
-def _minimizers(text: str, least: int) -> np.ndarray:
-    """Hashes of the distinct minimizers for names of at least ``least`` characters."""
+def _minimizers(text: str, least: int) -> Column:
+    """The different minimizers for names of at least ``least`` characters; none in a shorter text."""
     k, w = WINDOWS[least]
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    if len(codes) < least:
-        return np.empty(0, dtype=np.uint64)
-    runs = len(codes) - k + 1
-    out = np.full(runs, least, dtype=np.uint64)
-    for i in range(k):
-        out = out * MULTIPLIER + codes[i : i + runs]
-    out ^= out >> np.uint64(29)
-    out *= MULTIPLIER
-    return np.unique(np.lib.stride_tricks.sliding_window_view(out, w).min(axis=1))
-
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _name_runs(names: pd.Series) -> pd.Series:
-    """Minimizers of a name under the widest windows that fit in it."""
-    return names.map(lambda n: _minimizers(n, next(m for m in WINDOWS if len(n) >= m)).view(np.int64))
-
+    runs = F.transform(F.split(text, ""), lambda c: F.xxhash64(c))
+    by = 1
+    while by < k:
+        runs, by = _neighbours(runs, by, lambda a, b: F.xxhash64(a, b)), 2 * by
+    by = 1
+    while 2 * by <= w:
+        runs, by = _neighbours(runs, by, lambda a, b: F.least(a, b)), 2 * by
+    if by < w:
+        runs = _neighbours(runs, w - by, lambda a, b: F.least(a, b))
+    return F.array_distinct(runs)
+
+
+def _class_of(name: str) -> Column:
+    """The kind of seed that a name uses: two pieces in a row, one, or the widest window that fits in it."""
+    whole = F.size(F.split(name, _CUT)) - 2
+    longest = F.when(whole >= 2, F.lit(PIECES)).when(whole == 1, F.lit(PIECE))
+    for least in WINDOWS:
+        longest = longest.when(F.char_length(name) >= least, F.lit(least))
+    return longest
 
-def _text_runs(lengths: list[int]):
-    """Minimizers of a text under each of the windows in use."""
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def runs(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: np.concatenate([_minimizers(t, m) for m in lengths]).view(np.int64))
+def _seeds(text: str, kind: int, whole: bool) -> Column:
+    """The different seeds of one kind. A text's pieces all count; a name's first and last may go on outside it."""
+    if kind not in (PIECE, PIECES):
+        return _minimizers(text, kind)
+    pieces = F.split(text, _CUT)
+    if not whole:
+        pieces = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0)))
+    runs = F.transform(pieces, lambda p: F.xxhash64(p))
+    return F.array_distinct(_neighbours(runs, 1, lambda a, b: F.xxhash64(a, b)) if kind == PIECES else runs)
 
-    return runs
 
+def contains_pairs(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, name: str) -> DataFrame:
+    """The distinct (text keys, name) pairs where the text holds the name as it is written.
 
-def _seeded(texts: DataFrame, text_keys: list[str], text: str, names: DataFrame, name: str,
-            lengths: list[int]) -> DataFrame:
-    if not lengths:
+    The text keys identify a text. Empty and NULL names occur nowhere. One small action finds the kinds of seeds in use,
+    eight numbers at most.
+    """
+    names = names.select(name).where(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
+    texts = texts.select(*text_keys, text).where(F.col(text).isNotNull())
+    kinds = sorted((r[0] for r in names.select(_class_of(name)).distinct().collect()), reverse=True)
+    if not kinds:
         return texts.select(*text_keys, F.col(text).alias(name)).where(F.lit(False))
-    own = names.select(name, F.explode(_name_runs(name)).alias("_run"))
-    spread = own.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
-    seeds = (
-        own.join(spread, "_run").groupBy(name).agg(F.min_by("_run", F.struct("_n", "_run")).alias("_run"))
-    )
-    runs = texts.select(*text_keys, F.explode(_text_runs(lengths)(text)).alias("_run"))
-    candidates = runs.join(seeds, "_run").select(*text_keys, name).distinct()
+
+    def seeds_of(rows: DataFrame, column: str, keys: list[str], whole: bool) -> DataFrame:
+        """Rows of keys, ``_kind`` and ``_seed``; a name has seeds of its own kind only, a text of all in use."""
+        made = None
+        for kind in kinds:
+            part = (rows if whole else rows.where(_class_of(column) == kind)).select(
+                # an outer explode, as the plain one would have its array worked out for a filter too
+                *keys, F.lit(kind).alias("_kind"), F.explode_outer(_seeds(column, kind, whole)).alias("_seed"))
+            made = part if made is None else made.unionByName(part)
+        return made
+
+    seed = ["_kind", "_seed"]
+    own = seeds_of(names, name, [name], False)
+    spread = own.groupBy(*seed).agg(F.count(F.lit(1)).alias("_n"))
+    rarest = own.join(spread, seed).groupBy(name, "_kind").agg(F.min_by("_seed", F.struct("_n", "_seed")).alias("_seed"))
+    candidates = seeds_of(texts, text, text_keys, True).join(rarest, seed).select(*text_keys, name).distinct()
     return (
         candidates.join(texts, text_keys)
         .where(F.instr(F.col(text), F.col(name)) > 0)
         .select(*text_keys, name)
     )
+
+
+#: Names that are looked for in one copy of a text.
+NAMES_AT_ONCE = 1000
+
+
+def confirmed_pairs(wanted: DataFrame, text_keys: list[str], name: str, texts: DataFrame, text: str) -> DataFrame:
+    """Of the given (text keys, name) pairs those, once each, whose text holds the name.
+
+    A text meets its names in one row, or one for each ``NAMES_AT_ONCE`` or so of them, and is not copied per name.
+    """
+    wanted = wanted.select(*text_keys, name).where(F.col(name) != "").distinct()
+    counts = wanted.groupBy(*text_keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.pmod(F.xxhash64(name), F.ceil(F.col("_n") / NAMES_AT_ONCE))
+    together = wanted.join(counts, text_keys).groupBy(*text_keys, share.alias("_share")).agg(
+        F.collect_list(name).alias("_names"))
+    held = F.filter("_names", lambda n: F.instr(F.col(text), n) > 0)
+    return together.join(texts.select(*text_keys, text), text_keys).select(*text_keys, F.explode(held).alias(name))

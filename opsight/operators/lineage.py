@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsight.functions.matching import like_any
 from opsight.functions.times import moment
-from opsight.operators.contains import contains_pairs
+from opsight.operators.contains import confirmed_pairs, contains_pairs
 from opsight.session import cut_lineage
 
 # Owners whose tables count.
@@ -66,7 +66,7 @@ def _texts(views: DataFrame) -> DataFrame:
 
 
 def view_table_lineage(views: DataFrame, mviews: DataFrame, tables: DataFrame,
-                       owners_like: list[str] | None = None, way: str = "auto") -> DataFrame:
+                       owners_like: list[str] | None = None) -> DataFrame:
     """The tables whose ``OWNER.TABLE`` occurs in the text of a view, per materialized view.
 
     The search is for the characters as they are: case matters, and a longer name also holds every
@@ -78,7 +78,7 @@ def view_table_lineage(views: DataFrame, mviews: DataFrame, tables: DataFrame,
     )
     key = ["view_owner", "view_name"]
     texts = _texts(views).join(mviews.select(*key).distinct(), key, "left_semi")
-    pairs = contains_pairs(texts, key, "text", names, "_full", way=way)
+    pairs = contains_pairs(texts, key, "text", names, "_full")
     return (
         pairs.join(names, "_full")
         .join(mviews, key)
@@ -89,12 +89,12 @@ def view_table_lineage(views: DataFrame, mviews: DataFrame, tables: DataFrame,
 def view_column_lineage(lineage: DataFrame, columns: DataFrame, views: DataFrame) -> DataFrame:
     """The columns of those tables whose name occurs in the text of the view.
 
-    The narrow join comes first; texts are read once, next to the names looked for in them.
+    Each text is read once, next to the different names of all its tables' columns.
     """
+    view = ["view_owner", "view_name"]
     names = columns.select(F.col("owner").alias("table_owner"), "table_name", F.col("column_name").alias("col_name"))
-    return (
-        lineage.join(names, ["table_owner", "table_name"])
-        .join(_texts(views), ["view_owner", "view_name"])
-        .where(F.instr(F.col("text"), F.col("col_name")) > 0)
-        .select("mview_owner", "mview_name", "view_owner", "view_name", "table_owner", "table_name", "col_name")
-    )
+    # read twice: for the names of each text, and to put what is found back to its tables
+    wanted = cut_lineage(lineage.join(names, ["table_owner", "table_name"]))
+    held = confirmed_pairs(wanted, view, "col_name", _texts(views), "text")
+    return wanted.join(held, [*view, "col_name"]).select(
+        "mview_owner", "mview_name", *view, "table_owner", "table_name", "col_name")

@@ -129,8 +129,8 @@ def test_workload(make):
 def test_parallel_workers(make):
     sessions = make("sid long, status string, sql_id string", [(1, "ACTIVE", "a"), (2, "INACTIVE", "a"), (3, "ACTIVE", "b")])
     area = make("sql_id string, sql_text string", [("a", "x" * 150)])
-    got = wl.parallel_workers(
-        sessions, area, make("sid long, spid long", [(1, 11), (2, 12)]),
-        make("sid long, qcsid long", [(1, 9), (2, 9), (3, 9)]), ["sql_id"], ["sid"],
-    ).collect()
-    assert [(r["sid"], r["qcsid"], r["spid"], len(r["sql_text"])) for r in got] == [(1, 9, 11, 100)]
+    tables = [sessions, area, make("sid long, spid long", [(1, 11), (2, 12)]),
+              make("sid long, qcsid long", [(1, 9), (2, 9), (3, 9)]), ["sql_id"], ["sid"]]
+    for width, shown in ((100, 100), (None, 150)):
+        got = wl.parallel_workers(*tables, text_width=width).collect()
+        assert [(r["sid"], r["qcsid"], r["spid"], len(r["sql_text"])) for r in got] == [(1, 9, 11, shown)]
