@@ -14,13 +14,15 @@ from opsight.session import cut_lineage
 def capture_run(
     sessions: DataFrame, users: DataFrame, session_snap: DataFrame, statements: DataFrame, statement_snap: DataFrame,
     now: datetime, epoch: datetime | Column, rules: SessionRules = CURRENT_RULES, exclude_text: str | None = None,
-    on_duplicate: str = "error",
+    on_duplicate: str = "error", newest_snap: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Both tables after the capture. Write the first before the second, each as a new version.
 
-    The captured rows of both are fixed first, so the two merges see one moment.
+    The captured rows of both are fixed first, so the two merges see one moment. ``newest_snap`` is the part of
+    ``session_snap`` that the marks are read from, as ``snapshots.read_newest`` gives it; None reads all of it.
     """
-    batch = cut_lineage(capture_with_epoch_reset(sessions, users, session_snap, now, epoch, rules))
+    marked = session_snap if newest_snap is None else newest_snap
+    batch = cut_lineage(capture_with_epoch_reset(sessions, users, marked, now, epoch, rules))
     statements = cut_lineage(statements)
     newest = [F.col("fixed_table_sequence").desc()]
     return (

@@ -55,3 +55,30 @@ def test_logical_tables_fit_their_schema(spark, schema, table):
     assert [(f.name, f.dataType) for f in out.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
     assert set(df.columns) == set(schema.fieldNames())
     assert out.count() > 0
+
+
+def test_marks_prune_the_days(spark, make):
+    from datetime import datetime
+
+    from opsight.operators import capture as cap
+    from tests.conftest import plan_of, rows_of
+
+    def rows(*some):
+        return make("fixed_table_sequence long, population_date timestamp_ntz, instance_startup_date timestamp_ntz",
+                    [(n, None if day is None else f"2024-01-{day:02d}T05:00:00", f"2023-12-{i:02d}T00:00:00") for n, day, i in some])
+
+    batches = [[(5, 1, 1), (9, 2, 1), (3, 2, 2)], [(7, 3, 2), (8, 3, 2), (99, None, 2)], [(1, 5, 3), (50, 4, 1), (2, 6, 3)]]
+    path = scratch_path(spark, "marked")
+    for b in batches:
+        snapshots.append_snapshot(rows(*b), path, instance="instance_startup_date")
+    whole, source = rows(*sum(batches, [])), rows(*[(n, 9, 1) for n in range(60)])
+    for i, days in ((1, {4, 5, 6}), (2, {3, 4, 5, 6}), (3, {6}), (4, {6})):
+        epoch = datetime(2023, 12, i)
+        part = snapshots.read_newest(spark, path, epoch)
+        assert {r.population_date.day for r in part.collect()} == days
+        assert "PartitionFilters: [isnotnull(population_day" in plan_of(part)
+        assert rows_of(cap.changed_since_hwm(source, part, epoch)) == rows_of(cap.changed_since_hwm(source, whole, epoch))
+    # an instance without a dated row: all is read
+    undated = scratch_path(spark, "undated")
+    snapshots.append_snapshot(rows((4, None, 5), (6, 1, 1), (7, 2, 6)), undated, instance="instance_startup_date")
+    assert snapshots.read_newest(spark, undated, datetime(2023, 12, 5)).count() == 3
