@@ -27,23 +27,49 @@ ROUNDS = 3
 REACH = 64
 
 
+#: Matches of a text that are placed together.
+BLOCK = 256
+
+
+def _named(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _found(text: Column, pattern: str, hint: str) -> Column:
     """All matches as (start, end, value); ``hint`` is a cheap pattern that every text with a match has."""
     values = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
-    # the text before match i is the gaps up to i and the matches before it
-    steps = F.transform(values, lambda v, i: F.struct(
-        F.length(F.element_at(gaps, i + 1)).alias("gap"), F.length(v).alias("width"), v.alias("value")))
+    # the text before match i is the gaps up to i and the matches before it; the text is split once, as an argument
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values))
+    steps = F.zip_with(values, gaps, lambda v, gap: F.struct(
+        F.length(gap).alias("gap"), F.length(v).alias("width"), v.alias("value")))
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    folded = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), empty.alias("made")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["width"]).alias("at"),
-            F.concat(acc["made"], F.array(F.struct(
-                (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["width"]).alias("end"),
-                s["value"].alias("value")))).alias("made")),
-        lambda acc: acc["made"],
-    )
+
+    def placed(block: Column, at: Column) -> Column:
+        return F.aggregate(
+            block, F.struct(at.alias("at"), empty.alias("made")),
+            lambda acc, s: F.struct(
+                (acc["at"] + s["gap"] + s["width"]).alias("at"),
+                F.concat(acc["made"], F.array(F.struct(
+                    (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["width"]).alias("end"),
+                    s["value"].alias("value")))).alias("made")),
+            lambda acc: acc["made"],
+        )
+
+    def by_block(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+            lambda acc, block: F.struct(
+                F.aggregate(block, acc["at"], lambda at, s: at + s["gap"] + s["width"]).alias("at"),
+                F.concat(acc["begins"], F.array(acc["at"])).alias("begins")),
+            lambda acc: acc["begins"],
+        )
+        return F.flatten(F.zip_with(blocks, begins, placed))
+
+    # an array grows by copies, so blocks of a bounded size are placed on their own
+    blocks = _named(steps, lambda s: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(s) - 1) / BLOCK).cast("int")), lambda b: F.slice(s, F.greatest(b, F.lit(0)) * BLOCK + 1, BLOCK)))
+    folded = _named(blocks, by_block)
     return F.when(text.rlike(hint), folded).otherwise(empty)
 
 
