@@ -144,4 +144,4 @@ def trimmed_weighted_mean(hist: DataFrame, min_freq: int = 1, low: float = 0, hi
     )
     total = F.sum("frequency")
     mean = F.sum(F.col("duration") * F.col("frequency")) / F.when(total != 0, total)
-    return kept.agg(F.round(mean, 6).alias("mean_duration"))
+    return kept.agg(mean.alias("mean_duration"))

@@ -22,7 +22,7 @@ def daily_summary(df: DataFrame, measure: str, since: date, day: str = "day") ->
     """Average, least and greatest daily sum after a day, one row."""
     totals = daily_counts(df.where(F.col(day) > F.lit(since)), measure, day, "n")
     return totals.agg(
-        F.round(F.avg("n"), 6).alias("avg_per_day"), F.min("n").alias("min_per_day"), F.max("n").alias("max_per_day")
+        F.avg("n").alias("avg_per_day"), F.min("n").alias("min_per_day"), F.max("n").alias("max_per_day")
     )
 
 
