@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsight.functions.matching import any_of, plain_number
 from opsight.operators.trees import with_leaf_flag
-from opsight.session import cut_lineage
+from opsight.session import cut_lineage, scratch_path
 
 # Junction nodes by name. With several predecessors they are no real "previous step".
 JUNCTIONS = [r"^\s*AND(\d|_)+.*", r"^\s*OR(\d|_)+.*"]
@@ -137,26 +137,69 @@ def critical_path(paths: DataFrame, root: str = "root_created_on") -> DataFrame:
     )
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` from a table in the shared folder, so that plans of many rounds go by its real size; sizes that are
+    estimated from round to round multiply."""
+    path = scratch_path(df.sparkSession, "links")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _splice(links: DataFrame) -> DataFrame:
+    """(step, _a, _b): steps with one link in and one link out, no two of them neighbours, that a link from
+    ``_a`` to ``_b`` can stand for."""
+    into = links.groupBy(F.col("_b").alias("_step")).agg(F.count(F.lit(1)).alias("n_in"), F.min("_a").alias("_a"))
+    out = links.groupBy(F.col("_a").alias("_step")).agg(F.count(F.lit(1)).alias("n_out"), F.min("_b").alias("_b"))
+    inner = _written(
+        into.join(out, "_step").where("n_in = 1 AND n_out = 1 AND _a != _step").select("_step", "_a", "_b")
+    )
+    turn = F.struct(F.xxhash64("_step"), F.col("_step"))
+    # of neighbours the one with the greater hash goes, a third of a run on average
+    around = inner.select(F.col("_step").alias("_a"), turn.alias("turn_a"))
+    behind = inner.select(F.col("_step").alias("_b"), turn.alias("turn_b"))
+    return inner.join(around, "_a", "left").join(behind, "_b", "left").where(
+        F.coalesce(turn > F.col("turn_a"), F.lit(True)) & F.coalesce(turn > F.col("turn_b"), F.lit(True))
+    ).select("_step", "_a", "_b")
+
+
 def _loop_steps(rows: DataFrame) -> DataFrame | None:
-    """Steps that may lie on a loop of predecessors, None where there is no loop.
+    """Steps on a loop of predecessors, or on a way from one loop to another; None where there is no loop.
 
     Every loop has a link from a step to one with the same or a lower id, and its steps lie between the
-    lowest and the highest of such links. Of the links in that range those without a link before or
-    after them fall away until no more do. Without such a link one aggregate is all it costs.
+    lowest and the highest of such links. Without such a link one aggregate is all it costs. Of the links
+    in that range those without a link before or after them fall away. In the same round a step between
+    just two links gives way to one link, about a third of a run at a time, so a run of n steps is gone
+    after some log n rounds and the links shrink with each. What is left holds loops. The steps that gave
+    way are then looked at last to first: one belongs to the result if both ends of its link do.
     """
     links = rows.select(F.col(PREVIOUS).alias("_a"), F.col(THIS).alias("_b")).where("_a IS NOT NULL AND _b IS NOT NULL")
     low, high = links.where("_a >= _b").agg(F.min("_b"), F.max("_a")).first()
     if low is None:
         return None
-    links = cut_lineage(links.where(F.col("_a").between(low, high) & F.col("_b").between(low, high)).distinct())
-    count = links.count()
-    while count:
+    links = _written(links.where(F.col("_a").between(low, high) & F.col("_b").between(low, high)).distinct())
+    given, before, count = [], -1, links.count()
+    while count and count != before:
         ends, begins = links.select(F.col("_b").alias("_a")), links.select(F.col("_a").alias("_b"))
-        links = cut_lineage(links.join(ends, "_a", "left_semi").join(begins, "_b", "left_semi"))
+        links = _written(links.join(ends, "_a", "left_semi").join(begins, "_b", "left_semi"))
+        gone = _written(_splice(links))
+        if not gone.isEmpty():
+            given.append(gone)
+            steps = gone.select("_step")
+            links = _written(
+                links.join(steps, F.col("_a") == F.col("_step"), "left_anti")
+                .join(steps, F.col("_b") == F.col("_step"), "left_anti")
+                .unionByName(gone.select("_a", "_b")).distinct()
+            )
         before, count = count, links.count()
-        if count == before:
-            return links.select(F.col("_a").alias(THIS)).distinct()
-    return None
+    if not count:
+        return None
+    looped = links.select(F.col("_a").alias(THIS)).distinct()
+    for gone in reversed(given):
+        first, last = looped.withColumnRenamed(THIS, "_a"), looped.withColumnRenamed(THIS, "_b")
+        looped = _written(looped.unionByName(
+            gone.join(first, "_a", "left_semi").join(last, "_b", "left_semi").select(F.col("_step").alias(THIS))
+        ))
+    return looped
 
 
 def critical_chains(steps: DataFrame, start: Column | None = None, label: Column | None = None,

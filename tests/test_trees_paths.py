@@ -198,6 +198,35 @@ def test_critical_chains_equal_every_chain_with_loops(steps, seed):
     assert rows_of(paths.critical_chains(df)) == rows_of(paths.critical_path(paths.sequence_paths(df)))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_loop_steps_equal_reachability(make, seed):
+    """A step is given if a loop leads to it and it leads to a loop."""
+    rng = random.Random(seed)
+    links = {(n - 1, n) for n in range(1, 30)} | {(rng.randrange(60), rng.randrange(60)) for _ in range(25)}
+    reach = {n: {n} for n in range(60)}
+    for _ in range(60):
+        for a, b in links:
+            reach[a] |= reach[b]
+    on_loop = {n for n in range(60) if any(a == n and n in reach[b] for a, b in links)}
+    low = min((b for a, b in links if a >= b), default=None)
+    high = max((a for a, b in links if a >= b), default=None)
+    within = {n for n in range(60) if low is not None and low <= n <= high}
+    want = {n for n in within if any(n in reach[m] for m in on_loop) and reach[n] & on_loop}
+    got = paths._loop_steps(make("execution_audit_id long, prev_execution_audit_id long", [(b, a) for a, b in links]))
+    have = [] if got is None else [r[0] for r in got.collect()]
+    # a way between two loops may leave the range of the links that go back; steps on loops never do
+    assert len(have) == len(set(have)) and on_loop <= set(have) <= want
+
+
+def test_a_long_chain_beside_a_loop_takes_few_rounds(make, monkeypatch):
+    rounds, splice = [], paths._splice
+    monkeypatch.setattr(paths, "_splice", lambda links: rounds.append(1) or splice(links))
+    chain = [(n, n - 1) for n in range(1, 10_000)]
+    steps = make("execution_audit_id long, prev_execution_audit_id long", [*chain, (20_000, 20_001), (20_001, 20_000), (0, 10_500), (10_500, 10_500)])
+    got = paths._loop_steps(steps)
+    assert sorted(r[0] for r in got.collect()) == [10_500, 20_000, 20_001] and len(rounds) <= 40
+
+
 def test_junctions_show_only_with_a_single_predecessor(steps):
     rows = [(1, None, 1.0), (2, 1, 1.0), (3, 1, 1.0), (3, 2, 1.0), (4, 2, 1.0)]
     got = paths.sequence_paths(steps(rows, {2: "AND_7"}))
