@@ -12,8 +12,6 @@ from opsight.llm import arrays
 BLOCK_BYTES = 4 << 20
 #: Labelled rows that the classifier is fitted on at most; those with the smallest hashes of their ids.
 MAX_EXAMPLES = 16_000
-#: Features seen in fewer examples are left out of the fit: their gradients can't outweigh ``L1``.
-MIN_EXAMPLES = 4
 BITS, EPOCHS = 28, 4
 #: FTRL: learning rate alpha / (beta + root of squared gradients) per coordinate, and both penalties.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 1.0
@@ -47,16 +45,9 @@ def fit(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
     if not examples or labels.min() == labels.max():
         rate = (labels.sum() + 0.5) / (len(labels) + 1.0) if len(labels) else 0.5
         return np.zeros(0, np.int64), np.zeros(0), float(np.log(rate / (1 - rate)))
-    often = []
-    for part in range(8):  # an eighth of the features at a time, to hold less
-        some, seen = np.unique(np.concatenate([e[e >> (BITS - 3) == part] for e in examples]), return_counts=True)
-        often.append(some[seen >= MIN_EXAMPLES].astype(np.int64))
-    known = np.concatenate(often)
-    rows = []
-    for e in examples:
-        at = np.searchsorted(known, e)
-        at[at == len(known)] = 0
-        rows.append(at[known[at] == e] if len(known) else at[:0])
+    known = np.concatenate([  # an eighth of the features at a time, to hold less
+        np.unique(np.concatenate([e[e >> (BITS - 3) == part] for e in examples])) for part in range(8)])
+    rows = [np.searchsorted(known, e).astype(np.int32) for e in examples]
     z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     bias = len(known)  # the last coordinate, without L1
 
@@ -74,9 +65,9 @@ def fit(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
             grown = n[at] + gradient * gradient
             z[at] += gradient - (np.sqrt(grown) - np.sqrt(n[at])) / ALPHA * w
             n[at] = grown
-    w = weights(np.arange(len(known) + 1))
-    used = np.flatnonzero(w[:-1])
-    return known[used], w[used], float(w[-1])
+    used = np.flatnonzero(np.abs(z[:-1]) > L1)  # L1 alone decides which features stay
+    w = weights(np.append(used, bias))
+    return known[used].astype(np.int64), w[:-1], float(w[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
