@@ -22,9 +22,11 @@ WORD = r"(?:(?<![^\x20\x09-\x0D])|\G)[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D
 
 #: A pattern counts once so many different known identifiers stand in it, and such a share of all does.
 SUPPORT, CONFIDENCE = 3, 0.9
-ROUNDS = 3
-#: Characters on each side of an identifier that its context is taken from.
-REACH = 64
+#: Scores are whole thousandths, rounded down, so they can rise a bounded number of times only.
+SCALE = 1000
+#: The first and the last word of a text.
+FIRST = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
+LAST = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
 
 
 #: Matches of a text that are placed together.
@@ -119,37 +121,39 @@ def candidates(text: Column) -> Column:
     ``left`` and ``right`` are the words beside it in lower case, or their shape if they hold a digit, and
     empty at the ends of the text.
     """
-    found = _found(text, WORD, "[0-9@]")
-    trimmed = F.transform(found, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"),
-        F.regexp_replace(m["value"], "[.,;:!?\"']+$", "").alias("value")))
+    # matches are whole words, so a word beside one ends the gap before it or begins the gap behind it
+    gaps = F.transform(F.split(text, WORD, -1), lambda gap: F.struct(
+        F.regexp_extract(gap, FIRST, 1).alias("first"), F.regexp_extract(gap, LAST, 1).alias("last")))
+    seen = F.struct(_found(text, WORD, "[0-9@]").alias("found"), gaps.alias("gaps"))
 
-    def beside(word: Column) -> Column:
-        return F.when(word.rlike("[0-9]"), _shape(word)).otherwise(F.lower(word))
+    def beside(word: Column, found: Column, n: Column) -> Column:
+        near = F.when(word != "", word).otherwise(F.coalesce(F.get(found, n)["value"], F.lit("")))
+        return F.when(near.rlike("[0-9]"), _shape(near)).otherwise(F.lower(near))
 
-    def before(m: Column) -> Column:
-        begin = F.greatest(m["start"] - REACH, F.lit(0))
-        return beside(F.regexp_extract(F.substring(text, begin + 1, m["start"] - begin),
-                                       r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
+    def placed(s: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            value = F.regexp_replace(m["value"], "(?<![.,;:!?\"'])[.,;:!?\"']++$", "")
+            return F.struct(
+                m["start"].alias("start"), (m["start"] + F.length(value)).alias("end"), value.alias("value"),
+                beside(F.get(s["gaps"], i)["last"], s["found"], i - 1).alias("left"),
+                beside(F.get(s["gaps"], i + 1)["first"], s["found"], i + 1).alias("right"))
 
-    return F.transform(trimmed, lambda m: F.struct(
-        m["start"].alias("start"), (m["start"] + F.length(m["value"])).alias("end"), m["value"].alias("value"),
-        before(m).alias("left"),
-        beside(F.regexp_extract(F.substring(text, m["end"] + 1, F.lit(REACH)),
-                                r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1)).alias("right"),
-    ))
+        return F.transform(s["found"], one)
 
+    empty = F.array().cast("array<struct<start:int,end:int,value:string,left:string,right:string>>")
+    return F.when(text.rlike("[0-9@]"), _named(seen, placed)).otherwise(empty)
 
-def bootstrap(words: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
-              confidence: float = CONFIDENCE) -> DataFrame:
+
+def bootstrap(words: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """The instances that contexts show to be identifiers: instance, kind.
 
     ``words`` has a row per occurrence: instance (value), shape, left, right and kind (of the base span that
-it is part of, or null). A pattern is a shape with the word on its left, or on its right. Patterns and
+    it is part of, or null). A pattern is a shape with the word on its left, or on its right. Patterns and
     distinct instances make a graph: a pattern's confidence in a kind is the mean score of its instances,
     where known ones score 1 or 0; an unknown one's score is that of its best pattern, and patterns
     below the support and the confidence pass nothing on. Instances found in one round count as known, at their score, in
-    all their patterns in the next, so they give rise to new patterns. Copies of a text add nothing, as edges are distinct.
+    all their patterns in the next, so they give rise to new patterns; rounds end when no score rises any more.
+    Copies of a text add nothing, as edges are distinct.
     """
     sides = F.explode(F.array(F.struct(F.lit("L").alias("side"), F.col("left").alias("word")),
                               F.struct(F.lit("R").alias("side"), F.col("right").alias("word"))))
@@ -159,18 +163,22 @@ it is part of, or null). A pattern is a shape with the word on its left, or on i
     # only patterns with instances enough can ever pass something on
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
     live = cut_lineage(edges.join(sizes, "pattern"))
-    base = live.where("kind IS NOT NULL").select("pattern", "kind", "n", F.lit(1.0).alias("score"))
+    base = live.where("kind IS NOT NULL").select("pattern", "kind", "n", F.lit(SCALE).cast("long").alias("score"))
     unknown = live.where("kind IS NULL").drop("kind")
-    score = None
-    for _ in range(rounds):
+    least = round(confidence * SCALE)
+    score, before = None, (0, None)
+    while True:
         known = base
         if score is not None:
             known = base.unionByName(unknown.join(score, "instance").select("pattern", "kind", "n", "score"))
         good = known.groupBy("pattern", "kind").agg(
-            F.count("*").alias("seeds"), (F.sum("score") / F.max("n")).alias("trust")).where(
-            (F.col("seeds") >= support) & (F.col("trust") >= confidence)).select("pattern", "kind", "trust")
-        score = unknown.join(good, "pattern").groupBy("instance", "kind").agg(F.max("trust").alias("score"))
-        score = cut_lineage(score)
+            F.count("*").alias("seeds"), F.expr("sum(score) div max(n)").alias("trust")).where(
+            (F.col("seeds") >= support) & (F.col("trust") >= least)).select("pattern", "kind", "trust")
+        score = cut_lineage(unknown.join(good, "pattern").groupBy("instance", "kind").agg(F.max("trust").alias("score")))
+        now = tuple(score.agg(F.count("*"), F.sum("score")).first())
+        if now == before:  # scores never fall
+            break
+        before = now
     best = score.groupBy("instance").agg(F.max(F.struct("score", F.col("kind"))).alias("b"))
     return best.select("instance", F.col("b.kind").alias("kind"))
 
