@@ -96,9 +96,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             })
 
     def learn(whole: pa.Table) -> pa.Table:
-        whole = whole.sort_by([("turn", "ascending"), ("id", "ascending")])
-        rows = [np.frombuffer(f.as_buffer(), "<u4") for f in whole.column("features")]
-        feature, weight, bias = fit(rows, whole.column("label").to_numpy().astype(float))
+        # the features stay where they are, only their order is sorted
+        order = np.lexsort((whole.column("id").to_numpy(), whole.column("turn").to_numpy()))
+        found = whole.column("features")
+        rows = [np.frombuffer(found[int(i)].as_buffer(), "<u4") for i in order]
+        feature, weight, bias = fit(rows, whole.column("label").to_numpy()[order].astype(float))
         return pa.table({"feature": pa.array(np.append(feature, -1)), "weight": pa.array(np.append(weight, bias))})
 
     rows = examples.mapInArrow(extract, "turn long, id long, label int, features binary").withColumn("fit", F.lit(0))
