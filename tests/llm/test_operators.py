@@ -223,6 +223,49 @@ def test_passages(spark, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_of_partial_copies(spark):
+    """The smallest ids hold parts of the passage only; all others are linked with each other, whatever those hold."""
+    rnd = random.Random(8)
+
+    def prose(n):
+        return ["w%d" % rnd.randrange(10**6) for _ in range(n)]
+
+    rows, groups = [], {}
+    for g in range(30):
+        passage = prose(60)
+        for n, part in enumerate((passage[:40], passage[20:], passage[10:50], passage, passage, passage, passage)):
+            rows.append((n * 100 + g, prose(40) + part + prose(40)))
+            groups[n * 100 + g] = passage
+    rows += [(1000 + g, rows[7 * g + 6][1]) for g in range(5)]  # copies of whole texts
+    texts = dict(rows)
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = by_id(passages.repeated_passages(table))
+    for g in range(30):
+        members = [n * 100 + g for n in range(3, 7)] + [1000 + g] * (g < 5)
+        assert all(got[i].n_links >= len(members) - 1 for i in members)
+        assert len({got[i].component_id for i in members}) == 1
+    numbers = {w: n for n, w in enumerate({w for words in texts.values() for w in words})}
+    coded = {i: arrays.mix(np.array([numbers[w] for w in words], np.uint64)) for i, words in texts.items()}
+    want = dict.fromkeys(texts, 0)
+    for a in texts:
+        for b in texts:
+            if a < b and (a % 100 == b % 100) and passages.common_passages(coded[a], coded[b]):
+                want[a] += 1
+                want[b] += 1
+    assert sum(want.values()) * 0.99 <= sum(r.n_links for r in got.values()) <= sum(want.values())
+
+
+def test_passages_with_an_edit():
+    rnd = np.random.default_rng(9)
+    for at in range(50):
+        words = rnd.integers(0, 1 << 60, 50).astype(np.uint64)
+        edited = words.copy()
+        edited[at] += np.uint64(1)
+        around = [rnd.integers(0, 1 << 60, 30).astype(np.uint64) for _ in range(4)]
+        a, b = np.concatenate([around[0], words, around[1]]), np.concatenate([around[2], edited, around[3]])
+        assert passages.common_passages(a, b), at
+
+
 def test_language_model(docs, texts, empty):
     rows = lm.score_texts(docs).collect()
     assert len(rows) == len(texts) + 3
