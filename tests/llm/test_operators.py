@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,6 +204,27 @@ def test_decontamination(spark, empty):
     assert decontamination.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_closest_windows(monkeypatch):
+    """The closest window is that of brute force, and windows beside a far one are not measured."""
+    rnd = np.random.default_rng(11)
+    words = ["w%d" % n for n in range(60)]
+    items = decontamination.prepare([(7, " ".join(words))])
+    rows = []
+    for _ in range(30):
+        blocks = [words[n:n + 10] for n in range(0, 60, 10)]
+        blocks[0], blocks[1] = blocks[1], blocks[0]  # same words, too many edits, at every window near it
+        edited = [w if rnd.random() > 0.1 else "x" for w in words]
+        rows.append(" ".join(["y"] * 40 + sum(blocks, []) + ["z"] * 40 + edited + ["y"] * 40))
+    hashes, spans = decontamination.word_hashes(arrays.texts_of(pa.array(rows)))
+    measure, calls = decontamination.edit_distance, []
+    monkeypatch.setattr(decontamination, "edit_distance", lambda a, b: calls.append(1) or measure(a, b))
+    got = decontamination.matches(hashes, spans.first, items)
+    for text, (begin, end) in enumerate(zip(spans.first, spans.first[1:])):
+        want = min((measure(items.words[0], hashes[at:at + 60]), int(at), 60) for at in range(begin, end - 59))
+        assert got.get((text, 0)) == (want if want[0] <= 12 else None)
+    assert len(calls) <= 5 * len(rows)
+
+
 def test_passages(spark, empty):
     rnd = random.Random(6)
     vocabulary = ["v%d" % i for i in range(3000)]
