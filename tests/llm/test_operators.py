@@ -288,6 +288,52 @@ def test_passages_with_an_edit():
         assert passages.common_passages(a, b), at
 
 
+def test_passages_of_many_pairs_are_those_of_each_pair(monkeypatch):
+    """Edits, stutter, repeated lines and short texts, told together, are as when each pair is compared by itself."""
+    rnd = np.random.default_rng(12)
+
+    def prose(n, vocabulary=1 << 30):
+        return rnd.integers(1, vocabulary, n).tolist()
+
+    lines, passage = [prose(9) for _ in range(4)], prose(90)
+    pieces = [lambda: passage[rnd.integers(0, 40):rnd.integers(50, 91)], lambda: [7] * rnd.integers(1, 90),
+              lambda: lines[rnd.integers(0, 4)] * rnd.integers(1, 7), lambda: prose(rnd.integers(0, 40)),
+              lambda: prose(30, 3), lambda: passage[:50]]
+    texts = [[], [1], prose(4), prose(60), [7] * 50, [7] * 120]
+    for _ in range(90):
+        text = [w for _ in range(rnd.integers(1, 6)) for w in pieces[rnd.integers(0, len(pieces))]()]
+        for at in rnd.integers(0, len(text) + 1, rnd.integers(0, 4)):
+            text.insert(at, 5)
+        texts.append(text)
+    texts = [arrays.mix(np.array(t, np.uint64)) >> np.uint64(32) for t in texts]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    a, b = a[a > b], b[a > b]
+    monkeypatch.setattr(passages, "LOOKED_UP", 5000)
+    found = passages.Comparison(texts, a, b).common()
+
+    def merged(spans):
+        made = []
+        for begin, end in sorted(spans):
+            if made and begin <= made[-1][1]:
+                made[-1][1] = max(made[-1][1], end)
+            else:
+                made.append([begin, end])
+        return made
+
+    got = [[] for _ in a]
+    for pair, *where in found.tolist():
+        got[pair].append(where)
+    hits = 0
+    for pair, where in enumerate(got):
+        want = passages.common_passages(texts[a[pair]], texts[b[pair]])
+        hits += bool(want)
+        for side in (0, 2):
+            assert merged(p[side:side + 2] for p in where) == merged(p[side:side + 2] for p in want), pair
+    assert 500 < hits < len(a) - 500
+    for some in ([], texts[:3], [texts[3], texts[4]]):
+        assert not len(passages.Comparison(some, np.arange(1, len(some)), np.arange(len(some) - 1) if some else np.arange(0)).common())
+
+
 def test_language_model(docs, texts, empty):
     rows = lm.score_texts(docs).collect()
     assert len(rows) == len(texts) + 3
