@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from opsight.llm import arrays
 
 #: Bytes of text handled together; a longer document is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Labelled rows that the classifier is fitted on at most; those with the smallest hashes of their ids.
 MAX_EXAMPLES = 16_000
 BITS, EPOCHS = 28, 4
@@ -45,11 +45,15 @@ def fit(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
     if not examples or labels.min() == labels.max():
         rate = (labels.sum() + 0.5) / (len(labels) + 1.0) if len(labels) else 0.5
         return np.zeros(0, np.int64), np.zeros(0), float(np.log(rate / (1 - rate)))
-    known = np.concatenate([  # an eighth of the features at a time, to hold less
-        np.unique(np.concatenate([e[e >> (BITS - 3) == part] for e in examples])) for part in range(8)])
-    rows = [np.searchsorted(known, e).astype(np.int32) for e in examples]
-    z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
-    bias = len(known)  # the last coordinate, without L1
+    # features of one example only move alike, so they are one coordinate of the example, counted as often as they are
+    repeated = np.concatenate([_repeated([e[e >> (BITS - 3) == part] for e in examples]) for part in range(8)])
+    rows, alone = [], np.zeros(len(examples))
+    for i, example in enumerate(examples):
+        at = _places(repeated, example)
+        rows.append(at[at >= 0].astype(np.int32))
+        alone[i] = len(at) - len(rows[-1])
+    bias = len(repeated)  # a coordinate without L1; those of the examples follow
+    z, n = np.zeros(bias + 1 + len(rows)), np.zeros(bias + 1 + len(rows))
 
     def weights(at: np.ndarray) -> np.ndarray:
         pull = z[at]
@@ -58,16 +62,36 @@ def fit(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
                         -(pull - np.sign(pull) * grip) / ((BETA + np.sqrt(n[at])) / ALPHA + L2))
 
     for _ in range(EPOCHS):
-        for row, label in zip(rows, labels):
-            at = np.append(row, bias)
+        for i, (row, label) in enumerate(zip(rows, labels)):
+            at = np.append(row, (bias, bias + 1 + i))
             w = weights(at)
-            gradient = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+            total = w[:-1].sum() + alone[i] * w[-1]
+            gradient = 1 / (1 + np.exp(-np.clip(total, -35, 35))) - label
             grown = n[at] + gradient * gradient
             z[at] += gradient - (np.sqrt(grown) - np.sqrt(n[at])) / ALPHA * w
             n[at] = grown
-    used = np.flatnonzero(np.abs(z[:-1]) > L1)  # L1 alone decides which features stay
-    w = weights(np.append(used, bias))
-    return known[used].astype(np.int64), w[:-1], float(w[-1])
+    used = np.flatnonzero(np.abs(z[:bias]) > L1)  # L1 alone decides which features stay
+    feature, weight = [repeated[used].astype(np.int64)], [weights(used)]
+    for i in np.flatnonzero((np.abs(z[bias + 1:]) > L1) & (alone > 0)).tolist():
+        feature.append(examples[i][_places(repeated, examples[i]) < 0].astype(np.int64))
+        weight.append(np.repeat(weights(np.array([bias + 1 + i])), len(feature[-1])))
+    feature, weight = np.concatenate(feature), np.concatenate(weight)
+    order = np.argsort(feature)
+    return feature[order], weight[order], float(weights(np.array([bias]))[0])
+
+
+def _repeated(examples: list[np.ndarray]) -> np.ndarray:
+    """The features that several examples have, in order."""
+    every = np.sort(np.concatenate(examples))
+    return np.unique(every[1:][every[1:] == every[:-1]])
+
+
+def _places(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The places of values in the sorted ``known``, or -1."""
+    if not len(known):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[at] == values, at, -1)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -43,3 +44,24 @@ def test_the_fit_equals_plain_ftrl_and_keeps_rare_features():
     assert got.keys() == want.keys() and all(abs(got[f] - w) < 1e-9 for f, w in want.items())
     assert got[rare] > 0  # three examples are enough
     assert t.fit([], np.zeros(0))[2] == 0.0
+
+
+def test_features_of_one_example_take_little_room_and_get_their_weights():
+    rng = random.Random(6)
+    examples = [sorted({*rng.sample(range(40, 1 << t.BITS), 30), *rng.sample(range(40), 12)}) for _ in range(60)]
+    labels = np.array([float(i in (7, 41)) for i in range(60)])  # nothing but their own features tells these two
+    feature, weight, bias = t.fit([np.array(e, "<u4") for e in examples], labels)
+    want = plain(examples, labels)
+    want.pop("bias")
+    got = dict(zip(feature.tolist(), weight.tolist()))
+    assert got.keys() == want.keys() and all(abs(got[f] - w) < 1e-9 for f, w in want.items())
+    assert sum(f in got for f in examples[7]) >= 30 and np.all(np.diff(feature) > 0)
+
+    lone = np.random.default_rng(7).permutation(1 << 21).astype("<u4") * np.uint32(1 << t.BITS - 21)
+    telling = [np.arange(1, 21, dtype="<u4"), np.arange(21, 41, dtype="<u4")]
+    examples = [np.sort(np.concatenate([telling[i % 2], part])) for i, part in enumerate(np.split(lone, 1 << 9))]
+    tracemalloc.start()
+    t.fit(examples, np.arange(1 << 9) % 2.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(lone)
