@@ -334,6 +334,25 @@ def test_passages_of_many_pairs_are_those_of_each_pair(monkeypatch):
         assert not len(passages.Comparison(some, np.arange(1, len(some)), np.arange(len(some) - 1) if some else np.arange(0)).common())
 
 
+def test_passages_of_a_family_come_in_rows_of_documents(spark):
+    rnd = random.Random(14)
+    base, rows = ["f%d" % rnd.randrange(10**6) for _ in range(70)], []
+    for i in range(120):
+        at = rnd.randrange(70)
+        rows.append((i, " ".join([*base[:at], "edit%d" % i, *base[at + 1:]])))
+    rows.append((500, rows[7][1]))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    shares = passages.shares(docs.where("id < 500"), spark.createDataFrame([(7, 2)], "id long, n long")).collect()
+    assert len(shares) <= 120 * 8 + 1  # a row for each bucket at most, not for each of the 7,140 pairs
+    numbers = {w: n for n, w in enumerate({w for _, text in rows for w in text.split()})}
+    coded = {i: arrays.mix(np.array([numbers[w] for w in text.split()], np.uint64)) for i, text in rows}
+    want = {i: sum(i != j and bool(passages.common_passages(coded[i], coded[j])) for j in coded) for i in coded}
+    got = by_id(passages.repeated_passages(docs.withColumnRenamed("id", "doc_id")))
+    assert all(r.n_links <= want[i] for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.95 * sum(want.values())
+    assert {r.component_id for r in got.values()} == {0}
+
+
 def test_language_model(docs, texts, empty):
     rows = lm.score_texts(docs).collect()
     assert len(rows) == len(texts) + 3
