@@ -105,7 +105,11 @@ def anchors(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def links(prints: DataFrame, distance: int = 3) -> DataFrame:
-    """Pairs ``a`` < ``b`` of distinct fingerprints (``fp``) that differ in at most ``distance`` bits."""
+    """Pairs ``a`` < ``b`` of distinct fingerprints (``fp``) that differ in at most ``distance`` bits.
+
+    Spark takes the anchors, dozens a fingerprint, for as many rows as there are fingerprints, so the join is told not
+    to broadcast them.
+    """
 
     def spread(batches):
         for batch in batches:
@@ -122,7 +126,7 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     at_home = spread_out.where("home").select("anchor", F.col("fp").alias("a"))
     copies = spread_out.select("anchor", F.col("fp").alias("b"))
-    return at_home.join(copies, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return at_home.join(copies.hint("merge"), "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, distance: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
