@@ -1,5 +1,6 @@
 """What the corpus operators broadcast, where Spark takes a table for smaller than it is."""
 
+import corpus_pipeline
 import pytest
 
 from opsight.llm import simhash
@@ -29,3 +30,9 @@ def test_anchors_are_not_broadcast(spark, linked):
     # dozens of anchors a fingerprint, which Spark takes for one
     assert simhash.near_duplicates(_texts(spark)).count() == 9
     assert len(linked) == 1 and "SortMergeJoin" in linked[0] and "Broadcast" not in linked[0]
+
+
+def test_pipeline_does_not_broadcast_anchors(spark, linked):
+    kept = corpus_pipeline.near_duplicates(spark, _texts(spark), "")
+    assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [0, 1, 2]
+    assert len(linked) == 1 and "SortMergeJoin" in linked[0] and "Broadcast" not in linked[0]
